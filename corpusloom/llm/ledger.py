@@ -3,18 +3,19 @@
 The ledger keeps three bucketed tables in the shared folder, appended to batch by batch:
 
 - ``docs``   (k1, k2, id): hashes of the normalised content (the sequence of words),
-- ``paras``  (p, id, size): hashes of paragraphs,
+- ``paras``  (p, id): hashes of paragraphs,
 - ``sets``   (id, grams): hashes of the runs of words, for the exact comparison.
 
 A new batch is hashed once. A join on ``docs`` finds full copies; a join on ``paras``
-gives, for each new and accepted record, the share of words in common paragraphs
+gives, for each new and accepted record, how many paragraphs they have in common
 (coverage); pairs with coverage are compared exactly. The history's text is never read
 again, and only the buckets' hashes meet the batch.
 
-Records are short, so a paragraph is defined by content: the words between two words
-whose hash is divisible by ``cut``, under two independent hashes. An edit breaks the
-paragraphs around it and leaves the others. A paragraph that more than ``hot`` records
-share (a footer, say) is posted together with each of its neighbours instead.
+Records are short lines, often without a paragraph break, so the paragraphs hashed are
+passages of ``size`` words chosen by content (winnowing): two records that share
+``size + window - 1`` words in a row share one. Records that match at 0.7 share far longer
+stretches. A passage that more than ``hot`` records have (a footer, say) is looked up
+together with each of its neighbours instead.
 """
 
 from __future__ import annotations
@@ -30,22 +31,27 @@ from ..runtime import drop_path, stash, stash_path
 from . import textkernel as K
 
 
-def _paragraphs(words: np.ndarray, edges: np.ndarray, cut: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, number of words, and row of each content-defined paragraph."""
-    n = len(words)
-    ends = (K.splitmix(words * K.constants(1, seed)[0]) % K.U64(cut)) == 0
-    last = edges[1:][np.diff(edges) > 0] - 1
-    ends[last] = True
-    stop = np.flatnonzero(ends) + 1
-    start = np.concatenate([[0], stop[:-1]])
-    power, inverse = K.powers(n + 1)
-    prefix = np.zeros(n + 1, K.U64)
-    np.cumsum(K.splitmix(words + K.U64(seed)) * power[:n], out=prefix[1:])
-    row = np.searchsorted(edges, start, "right") - 1
-    return K.splitmix((prefix[stop] - prefix[start]) * inverse[start]), stop - start, row
+def _passages(words: np.ndarray, edges: np.ndarray, size: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Winnowed passages: hashes of runs of ``size`` words, and the rows' boundaries.
 
-
-def _prepare(key: str, column: str, min_words: int, n: int, cut: int):
+    Of every ``window`` consecutive runs the smallest hash is taken (Schleimer et al.
+    2003), so two texts with ``size + window - 1`` words in common have a passage in common.
+    """
+    values, bounds = K.runs(words, edges, size)
+    row = np.repeat(np.arange(len(edges) - 1), np.diff(bounds))
+    least = values.copy()
+    for j in range(1, window):
+        same = row[j:] == row[:-j]
+        least[:-j][same] = np.minimum(least[:-j][same], values[j:][same])
+    taken = least == values
+    for j in range(1, window):
+        taken[j:] |= (least[:-j] == values[j:]) & (row[j:] == row[:-j])
+    at = np.zeros(len(edges), np.int64)
+    np.cumsum(np.bincount(row[taken], minlength=len(edges) - 1), out=at[1:])
+    return values[taken], at
+
+
+def _prepare(key: str, column: str, min_words: int, n: int, size: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in K.slices(batch, column):
@@ -59,12 +65,9 @@ def _prepare(key: str, column: str, min_words: int, n: int, cut: int):
                 edges = np.concatenate([[0], np.cumsum(counts)])
                 high, low = K.sequence_keys(words, edges)
                 grams, bounds = K.distinct(*K.runs(words, edges, n))
-                hashes, sizes, rows = (np.concatenate(x) for x in zip(*(_paragraphs(words, edges, cut, s) for s in (21, 22))))
-                order = np.argsort(rows, kind="stable")
-                hashes, sizes, rows = hashes[order], sizes[order], rows[order]
+                hashes, at = _passages(words, edges, size, window)
                 before = np.concatenate([[K.U64(1)], hashes[:-1]])
                 after = np.concatenate([hashes[1:], [K.U64(1)]])
-                at = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(counts)))])
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(key).take(pa.array(np.flatnonzero(long))),
@@ -74,17 +77,16 @@ def _prepare(key: str, column: str, min_words: int, n: int, cut: int):
                         K.int_lists(hashes, at),
                         K.int_lists(K.splitmix(before * K.constants(1, 31)[0] + hashes), at),
                         K.int_lists(K.splitmix(hashes * K.constants(1, 31)[0] + after), at),
-                        K.int_lists(sizes.astype(np.int32), at, pa.int32()),
                         K.int_lists(grams, bounds),
                     ],
-                    ["id", "k1", "k2", "words", "paras", "with_previous", "with_next", "sizes", "grams"],
+                    ["id", "k1", "k2", "words", "paras", "with_previous", "with_next", "grams"],
                 )
 
     return run
 
 
-SCHEMA = "id long, k1 long, k2 long, words int, paras array<long>, with_previous array<long>, with_next array<long>, sizes array<int>, grams array<long>"
-_TABLES = {"docs": ("k1", "k1 long, k2 long, id long"), "paras": ("p", "p long, id long, size int"), "sets": ("id", "id long, grams array<long>")}
+SCHEMA = "id long, k1 long, k2 long, words int, paras array<long>, with_previous array<long>, with_next array<long>, grams array<long>"
+_TABLES = {"docs": ("k1", "k1 long, k2 long, id long"), "paras": ("p", "p long, id long"), "sets": ("id", "id long, grams array<long>")}
 
 
 class Ledger:
@@ -95,8 +97,8 @@ class Ledger:
     accepted. Records are taken in the order of their keys within a batch.
     """
 
-    def __init__(self, spark: SparkSession, threshold: float = 0.7, min_words: int = 20, n: int = 5, cut: int = 5, hot: int = 1000, buckets: int = 8):
-        self.spark, self.threshold, self.min_words, self.n, self.cut, self.hot, self.buckets = spark, threshold, min_words, n, cut, hot, buckets
+    def __init__(self, spark: SparkSession, threshold: float = 0.7, min_words: int = 20, n: int = 5, size: int = 8, window: int = 4, hot: int = 1000, buckets: int = 8):
+        self.spark, self.threshold, self.min_words, self.n, self.size, self.window, self.hot, self.buckets = spark, threshold, min_words, n, size, window, hot, buckets
         name = uuid.uuid4().hex[:12]
         self.paths = {t: stash_path(spark, f"ledger-{t}") for t in _TABLES}
         self.names = {t: f"corpusloom_{t}_{name}" for t in _TABLES}
@@ -115,21 +117,20 @@ class Ledger:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             drop_path(self.spark, self.paths[table])
 
-    def _posts(self, reps: DataFrame) -> DataFrame:
-        """(p, id, size): what a record is looked up by, hot paragraphs in context."""
-        each = reps.select("id", F.explode(F.arrays_zip("paras", "with_previous", "with_next", "sizes")).alias("x")).select("id", "x.*").distinct()
-        mine = each.groupBy(F.col("paras").alias("p")).agg(F.count(F.lit(1)).alias("n"))
-        known = self._table("paras").groupBy("p").agg(F.count(F.lit(1)).alias("n"))
-        hot = stash(mine.unionByName(known).groupBy("p").agg(F.sum("n").alias("n")).where(F.col("n") > self.hot).select(F.col("p").alias("paras"), F.lit(True).alias("hot")), "p6-hot")
-        marked = each.join(hot, "paras", "left")
-        plain = marked.select(F.col("paras").alias("p"), "id", F.col("sizes").alias("size"))  # always stored, so that counts stay right
-        context = marked.where("hot").select(F.explode(F.array("with_previous", "with_next")).alias("p"), "id", F.col("sizes").alias("size"))
-        return plain.join(hot.select(F.col("paras").alias("p")), "p", "left_anti").unionByName(context).distinct(), plain.unionByName(each.select(F.explode(F.array("with_previous", "with_next")).alias("p"), "id", F.col("sizes").alias("size"))).distinct()
+    def _posts(self, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(p, id): what a record is looked up by (hot passages in context), and all that is stored of it."""
+        each = reps.select("id", F.explode(F.arrays_zip("paras", "with_previous", "with_next")).alias("x")).select("id", "x.*")
+        counted = each.select(F.col("paras").alias("p")).unionByName(self._table("paras").select("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
+        hot = stash(counted.where(F.col("n") > self.hot).select(F.col("p").alias("paras"), F.lit(True).alias("hot")), "p6-hot")
+        looked = each.join(hot, "paras", "left").select("id", F.explode(F.when(F.col("hot"), F.array("with_previous", "with_next")).otherwise(F.array("paras"))).alias("p"))
+        # everything is stored in both ways, so a passage can become hot later
+        stored = each.select("id", F.explode(F.array("paras", "with_previous", "with_next")).alias("p"))
+        return looked.select("p", "id").distinct(), stored.select("p", "id").distinct()
 
     def admit(self, batch: DataFrame, key: str = "record_id", column: str = "text") -> DataFrame:
         """(accepted_id, record_id) of the refused records of ``batch``; accepts the others."""
         rows = batch.select(F.col(key).cast("long").alias(key), column).where(f"{column} is not null and {key} is not null")
-        made = stash(rows.mapInArrow(_prepare(key, column, self.min_words, self.n, self.cut), SCHEMA), "p6-made")
+        made = stash(rows.mapInArrow(_prepare(key, column, self.min_words, self.n, self.size, self.window), SCHEMA), "p6-made")
         first = made.groupBy("k1", "k2").agg(F.min("id").alias("rep"))
         members = stash(made.select("id", "k1", "k2").join(first, ["k1", "k2"]).select("id", "rep", "k1", "k2").distinct(), "p6-members")
         reps = made.join(first.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
@@ -138,11 +139,11 @@ class Ledger:
 
         searched, stored = self._posts(fresh)
         searched = stash(searched, "p6-posts")
-        new = searched.select("p", F.col("id").alias("b"), "size")
+        new = searched.select("p", F.col("id").alias("b"))
         old = self._table("paras").select("p", F.col("id").alias("a"))
         among = searched.select("p", F.col("id").alias("a"))
-        covered = new.join(old, "p").unionByName(new.join(among, "p").where("a < b")).groupBy("a", "b").agg(F.sum("size").alias("covered"))
-        pairs = stash(covered, "p6-pairs")  # covered: words in common paragraphs, under both cuts
+        covered = new.join(old, "p").unionByName(new.join(among, "p").where("a < b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("covered"))
+        pairs = stash(covered, "p6-pairs")  # covered: passages in common
         of = fresh.select("id", "grams").unionByName(self._table("sets"))
         sets = stash(of.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi"), "p6-sets")
         common = F.size(F.array_intersect("ga", "gb"))
@@ -173,7 +174,7 @@ class Ledger:
 
         keep = fresh.join(accepted, "id", "left_semi")
         self._append("docs", keep.select("k1", "k2", "id"))
-        self._append("paras", stored.join(accepted, "id", "left_semi").select("p", "id", "size"))
+        self._append("paras", stored.join(accepted, "id", "left_semi").select("p", "id"))
         self._append("sets", keep.select("id", "grams"))
         self.empty = False
         return found
