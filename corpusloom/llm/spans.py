@@ -11,7 +11,10 @@ end up with equal symbols but for a few at their ends. Nothing is joined beyond
 A shared high-level symbol reveals a shared span: for every symbol the name and the hash
 of the ``CONTEXT`` code points around its begin are posted, records that post the same are
 paired on the difference of their positions, and the pairs are compared code point by
-code point. Copies of a text fold into one class before anything is posted.
+code point. Copies of a text fold into one class before anything is posted. A symbol that
+very many records post (site footers just short of the wanted length) pairs nothing by
+itself: its records post every window of ``min_chars`` code points around it, which only
+truly shared spans have in common, so false pairs stay linear in the records.
 
 A common span of ``min_chars`` is missed only if none of the symbols that begin in its
 middle ``min_chars - CONTEXT`` code points is consistent. Test and README give the recall
@@ -24,13 +27,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..runtime import stash
 from . import textkernel as K
 from .near import only
 
-LEAST, ROUNDS, CONTEXT = 20, 14, 96
+LEAST, ROUNDS, CONTEXT = 20, 14, 160
+#: A posted symbol that more records than this have is looked up by exact windows instead.
+HOT = 64
 
 
 def _compress(sym: np.ndarray, size: np.ndarray, row: np.ndarray, begin: np.ndarray, round_no: int) -> tuple[np.ndarray, ...]:
@@ -121,6 +127,33 @@ def _poster(key: str, column: str, min_chars: int):
     return run
 
 
+def _several(lists: DataFrame, name: str) -> DataFrame:
+    """The rows (id, p, at) whose ``p`` another row has too, with the number of rows ``n``."""
+    counted = lists.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("p")))
+    return stash(counted.where("n > 1"), name)
+
+
+def _windows(min_chars: int):
+    half = CONTEXT // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in K.slices(batch, "text"):
+                text = K.Text.of(part.column("text"))
+                prefix = text.hashed()
+                ats = part.column("ats")
+                row = np.repeat(np.arange(part.num_rows), np.asarray(pa.compute.list_value_length(ats)))
+                at = np.asarray(ats.flatten()).astype(np.int64) + text.starts[row]
+                begin = (at[:, None] - half - np.arange(min_chars - CONTEXT + 1)).reshape(-1)
+                row = np.repeat(row, min_chars - CONTEXT + 1)
+                ok = (begin >= text.starts[row]) & (begin + min_chars <= text.starts[row + 1])
+                begin, first = np.unique(begin[ok], return_index=True)
+                row = row[ok][first]
+                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(row)), K.int64s(K.span_hash(prefix, begin, begin + min_chars)), pa.array((begin - text.starts[row]).astype(np.int32))], ["id", "p", "at"])
+
+    return run
+
+
 def _verify(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = lambda t: np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4")
@@ -158,10 +191,14 @@ def shared_spans(df: DataFrame, key: str = "doc_id", column: str = "text", min_c
     posted = stash(rows.mapInArrow(_poster("id", "text", min_chars), "id long, k1 long, k2 long, chars int, posted array<long>, at array<int>"), "p10-posted")
     first = stash(posted.groupBy("k1", "k2", "chars").agg(F.min("id").alias("class_id")), "p10-classes")
     members = posted.select("id", "k1", "k2", "chars").join(first, ["k1", "k2", "chars"]).select("id", "class_id", "chars").distinct()
-    reps = posted.join(first.select(F.col("class_id").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-    lists = reps.select("id", F.explode(F.arrays_zip("posted", "at")).alias("x")).select("id", F.col("x.posted").alias("p"), F.col("x.at").alias("at"))
-    left = lists.select(F.col("id").alias("a"), F.col("at").alias("i"), "p")
-    right = lists.select(F.col("id").alias("b"), F.col("at").alias("j"), "p")
+    later = stash(members.where("id <> class_id").select("id"), "p10-copies")
+    lists = posted.join(later, "id", "left_anti").select("id", F.explode(F.arrays_zip("posted", "at")).alias("x")).select("id", F.col("x.posted").alias("p"), F.col("x.at").alias("at"))
+    shared = _several(lists, "p10-shared")
+    hot = shared.where(F.col("n") > HOT).groupBy("id").agg(F.collect_set("at").alias("ats"))
+    windows = only(rows, "id", stash(hot.select("id"), "p10-hot")).join(hot, "id").dropDuplicates(["id"]).mapInArrow(_windows(min_chars), "id long, p long, at int")
+    shared = shared.where(F.col("n") <= HOT).select("id", "p", "at").unionByName(_several(windows, "p10-windows").select("id", "p", "at"))
+    left = shared.select(F.col("id").alias("a"), F.col("at").alias("i"), "p")
+    right = shared.select(F.col("id").alias("b"), F.col("at").alias("j"), "p")
     shifts = left.join(right, "p").where("a < b").groupBy("a", "b").agg(F.collect_set(F.col("i") - F.col("j")).alias("shifts"))
     pairs = stash(shifts, "p10-pairs")
     wanted = stash(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "p10-wanted")
