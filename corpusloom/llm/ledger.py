@@ -22,9 +22,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..runtime import drop_path, stash, stash_path
@@ -121,7 +123,7 @@ class Ledger:
         """(p, id): what a record is looked up by (hot passages in context), and all that is stored of it."""
         each = reps.select("id", F.explode(F.arrays_zip("paras", "with_previous", "with_next")).alias("x")).select("id", "x.*")
         counted = each.select(F.col("paras").alias("p")).unionByName(self._table("paras").select("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
-        hot = stash(counted.where(F.col("n") > self.hot).select(F.col("p").alias("paras"), F.lit(True).alias("hot")), "p6-hot")
+        hot = counted.where(F.col("n") > self.hot).select(F.col("p").alias("paras"), F.lit(True).alias("hot"))
         looked = each.join(hot, "paras", "left").select("id", F.explode(F.when(F.col("hot"), F.array("with_previous", "with_next")).otherwise(F.array("paras"))).alias("p"))
         # everything is stored in both ways, so a passage can become hot later
         stored = each.select("id", F.explode(F.array("paras", "with_previous", "with_next")).alias("p"))
@@ -132,7 +134,7 @@ class Ledger:
         rows = batch.select(F.col(key).cast("long").alias(key), column).where(f"{column} is not null and {key} is not null")
         made = stash(rows.mapInArrow(_prepare(key, column, self.min_words, self.n, self.size, self.window), SCHEMA), "p6-made")
         first = made.groupBy("k1", "k2").agg(F.min("id").alias("rep"))
-        members = stash(made.select("id", "k1", "k2").join(first, ["k1", "k2"]).select("id", "rep", "k1", "k2").distinct(), "p6-members")
+        members = made.select("id", "k1", "k2").join(first, ["k1", "k2"]).select("id", "rep").distinct()
         reps = made.join(first.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
         copies = stash(reps.select("id", "k1", "k2").join(self._table("docs").withColumnRenamed("id", "a"), ["k1", "k2"]).select("a", F.col("id").alias("b")), "p6-copies")
         fresh = stash(reps.join(copies.select(F.col("b").alias("id")), "id", "left_anti"), "p6-fresh")
@@ -145,7 +147,7 @@ class Ledger:
         covered = new.join(old, "p").unionByName(new.join(among, "p").where("a < b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("covered"))
         pairs = stash(covered, "p6-pairs")  # covered: passages in common
         of = fresh.select("id", "grams").unionByName(self._table("sets"))
-        sets = stash(of.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi"), "p6-sets")
+        sets = of.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
         common = F.size(F.array_intersect("ga", "gb"))
         links = (
             pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a")
@@ -170,14 +172,18 @@ class Ledger:
         own = batch.select(F.col(key).cast("long").alias("a")).distinct()
         found = whole.unionByName(later).join(members.select("rep", F.col("id").alias("record_id")), "rep").where("a <> record_id")
         found = found.join(own.withColumn("same", F.lit(True)), "a", "left").where("same is null or a < record_id")
-        found = stash(found.select(F.col("a").alias("accepted_id"), "record_id").distinct(), "p6-found")
-
         keep = fresh.join(accepted, "id", "left_semi")
-        self._append("docs", keep.select("k1", "k2", "id"))
-        self._append("paras", stored.join(accepted, "id", "left_semi").select("p", "id"))
-        self._append("sets", keep.select("id", "grams"))
+        # four writes that don't wait for one another
+        jobs = [
+            lambda: stash(found.select(F.col("a").alias("accepted_id"), "record_id").distinct(), "p6-found"),
+            lambda: self._append("docs", keep.select("k1", "k2", "id")),
+            lambda: self._append("paras", stored.join(accepted, "id", "left_semi").select("p", "id")),
+            lambda: self._append("sets", keep.select("id", "grams")),
+        ]
+        with ThreadPoolExecutor(len(jobs)) as pool:
+            result = [job.result() for job in [pool.submit(inheritable_thread_target(self.spark)(j)) for j in jobs]][0]
         self.empty = False
-        return found
+        return result
 
     def _first_wins(self, edges: DataFrame, refused: DataFrame) -> DataFrame:
         """Who is refused when records are taken in order: rounds over the undecided edges.
@@ -185,13 +191,11 @@ class Ledger:
         A record none of whose earlier neighbours is undecided is decided; rounds end when
         no edge has two undecided ends.
         """
-        refused = stash(refused, "p6-refused")
         live = stash(edges.join(refused.withColumnRenamed("id", "a"), "a", "left_anti").join(refused.withColumnRenamed("id", "b"), "b", "left_anti"), "p6-live")
         while not live.isEmpty():
             waiting = live.select(F.col("b").alias("a")).distinct()
-            out = live.join(waiting, "a", "left_anti").select(F.col("b").alias("id")).distinct()
-            out = stash(out, "p6-out")
-            refused = stash(refused.unionByName(out).distinct(), "p6-refused")
+            out = stash(live.join(waiting, "a", "left_anti").select(F.col("b").alias("id")).distinct(), "p6-out")
+            refused = refused.unionByName(out)
             # ends that are accepted (no earlier neighbour left) or refused leave the graph
             live = stash(live.join(waiting, "a", "left_semi").join(out.withColumnRenamed("id", "a"), "a", "left_anti").join(out.withColumnRenamed("id", "b"), "b", "left_anti"), "p6-live")
         return refused

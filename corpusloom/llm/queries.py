@@ -122,12 +122,13 @@ def queries() -> dict[str, Query]:
 _BLANK = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
-def _jaccard_sql(table: str, key: str, words: str, least: int, n: int, threshold: float, extra: str = "", where: str = "TRUE") -> str:
+def _jaccard_sql(table: str, key: str, words: str, least: int, n: int, threshold: float, extra: str = "", where: str = "TRUE", rows: str = "TRUE") -> str:
+    name = extra and f", {extra.split()[-1]}"
     run = " || ' ' || ".join(f"w[i + {k}]" for k in range(n))
     return f"""
-WITH split AS (SELECT {key} AS id{extra}, {words} AS w FROM {table} WHERE text IS NOT NULL),
-long AS (SELECT * FROM split WHERE len(w) >= {least}),
-grams AS (SELECT DISTINCT id{extra}, {run} AS g FROM (SELECT *, unnest(range(1, len(w) - {n} + 2)) AS i FROM long)),
+WITH cut AS (SELECT {key} AS id{extra}, {words} AS w FROM {table} WHERE text IS NOT NULL AND {rows}),
+long AS (SELECT * FROM cut WHERE len(w) >= {least}),
+grams AS (SELECT DISTINCT id{name}, {run} AS g FROM (SELECT *, unnest(range(1, len(w) - {n} + 2)) AS i FROM long)),
 sizes AS (SELECT id, count(*) AS n FROM grams GROUP BY id),
 common AS (SELECT least(a.id, b.id) AS a, greatest(a.id, b.id) AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND {where} GROUP BY 1, 2)
 SELECT a AS {key}_a, b AS {key}_b FROM common JOIN sizes x ON x.id = a JOIN sizes y ON y.id = b WHERE c >= {threshold} * (x.n + y.n - c) - 1e-9"""
@@ -139,7 +140,7 @@ def oracle_sql() -> dict[str, str]:
     runs = lambda table, key: f"SELECT DISTINCT {key}, {eight} AS g FROM (SELECT *, unnest(range(1, len(w) - 6)) AS i FROM (SELECT {key}, {plain} AS w FROM {table} WHERE text IS NOT NULL) WHERE len(w) >= 8)"
     return {
         "p1_found": _jaccard_sql("documents", "doc_id", f"regexp_extract_all(text, '[^{_BLANK}]+')", 20, 5, 0.7, where="a.id < b.id"),
-        "p4_found": _jaccard_sql("corpus_lines", "line_id", plain, 8, 3, 0.6, ", split = 'train' AS train", "a.train AND NOT b.train").replace("WHERE text IS NOT NULL)", "WHERE text IS NOT NULL AND split IN ('train', 'validation', 'test'))"),
+        "p4_found": _jaccard_sql("corpus_lines", "line_id", plain, 8, 3, 0.6, ", split = 'train' AS train", "a.train AND NOT b.train", "split IN ('train', 'validation', 'test')"),
         "p9_found": f"SELECT DISTINCT doc_id, item_id FROM ({runs('documents', 'doc_id')}) JOIN ({runs('benchmark', 'item_id')}) USING (g)",
         "p10_found": """
 WITH windows AS (SELECT DISTINCT doc_id, substr(text, i, 200) AS s FROM (SELECT doc_id, text, unnest(range(1, length(text) - 198)) AS i FROM documents WHERE length(text) >= 200)),
