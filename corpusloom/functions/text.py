@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 # The 29 code points that Python's str.strip and \s count as white space,
 # as a character class both Java's and RE2's patterns accept.
@@ -24,7 +25,7 @@ def strip(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
         yield texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
@@ -51,12 +52,21 @@ def words(c: Column | str) -> Column:
     return F.regexp_extract_all(_col(c), F.lit(f"[^{SPACE}]+"), F.lit(0))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often the body names it, also within lambdas."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _ngrams(w: Column, n: int) -> Column:
+    grams = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
+    return F.when(F.size(w) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+
 def ngrams(w: Column, n: int = 5) -> Column:
     """All runs of ``n`` neighbouring elements joined by one blank; none if there are fewer."""
     if n < 1:
         raise ValueError("n must be positive")
-    grams = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
-    return F.when(F.size(w) >= n, grams).otherwise(F.array().cast("array<string>"))
+    return let(w, lambda x: _ngrams(x, n))
 
 
 def md5_hash(c: Column) -> Column:
@@ -67,8 +77,8 @@ def md5_hash(c: Column) -> Column:
 def shingle_hashes(text: Column | str, n: int = 5) -> Column:
     """Distinct 32-bit hashes of a text's runs of ``n`` words; a shorter text is one shingle, as it is."""
     text = _col(text)
-    w = words(text)
-    return F.array_distinct(F.transform(F.when(F.size(w) >= n, ngrams(w, n)).otherwise(F.array(text)), md5_hash))
+    units = let(words(text), lambda w: F.when(F.size(w) >= n, _ngrams(w, n)).otherwise(F.array(text)))
+    return F.array_distinct(F.transform(units, md5_hash))
 
 
 def has_script(c: Column | str, first: int = TELUGU[0], last: int = TELUGU[1]) -> Column:

@@ -48,7 +48,9 @@ def _strip_sql(x: str) -> str:
 
 
 def _clean_sql(x: str) -> str:
-    t = rf"regexp_replace(nfc_normalize({x}), '{T.CONTROL}', '', 'g')"
+    # piece by piece between NULs, at which DuckDB's nfc_normalize ends a string
+    t = f"array_to_string(list_transform(string_split({x}, chr(0)), lambda p: nfc_normalize(p)), chr(0))"
+    t = rf"regexp_replace({t}, '{T.CONTROL}', '', 'g')"
     t = f"replace(replace({t}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
     t = rf"regexp_replace({t}, '[ \t]+', ' ', 'g')"
     t = f"array_to_string(list_transform(string_split({t}, chr(10)), lambda l: {_strip_sql('l')}), chr(10))"
