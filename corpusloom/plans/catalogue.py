@@ -262,7 +262,7 @@ def near_dedup_blake2b(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """WITH RECURSIVE e AS (SELECT ps_a AS x, ps_b AS y FROM (SELECT s_nationkey + 1000 AS ps_a, s_suppkey + 100000 AS ps_b FROM supplier)),
+    """WITH RECURSIVE e AS (SELECT ps_a AS x, ps_b AS y FROM (SELECT (s_nationkey + 1000)::BIGINT AS ps_a, (s_suppkey + 100000)::BIGINT AS ps_b FROM supplier)),
 b AS (SELECT x, y FROM e UNION SELECT y, x FROM e), r AS (SELECT x AS node, x AS r FROM b UNION SELECT node, y FROM r JOIN b ON b.x = r.r)
 SELECT node, min(r) AS component FROM r GROUP BY node"""
 )
