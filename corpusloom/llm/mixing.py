@@ -45,7 +45,7 @@ def _boundaries(df: DataFrame, group: str, order: list[str], copies: Column, see
 
 def _plan(documents: DataFrame, targets: DataFrame, catalog: DataFrame, key: str, seed: int, total: float | None) -> tuple[DataFrame, DataFrame]:
     """(kept documents, one row per target source with its size, copies and share)."""
-    caps = catalog.select(canonical_source("name").alias("src"), F.greatest(F.col("max_docs"), F.lit(0)).alias("max_docs")).groupBy("src").agg(F.min("max_docs").alias("max_docs"))
+    caps = catalog.select(canonical_source("name").alias("src"), F.when(F.col("max_docs").isNotNull(), F.greatest(F.col("max_docs"), F.lit(0))).alias("max_docs")).groupBy("src").agg(F.min("max_docs").alias("max_docs"))
     goals = targets.select(canonical_source("name").alias("src"), F.col("target_share").alias("share"), F.col("max_repeats").cast("int").alias("repeats")).where("src is not null and share > 0")
     goals = goals.join(caps, "src", "left")
     sized = documents.select(F.col(key).cast("long").alias("id"), canonical_source("source").alias("src"), F.length("text").cast("long").alias("size")).where("id is not null and size > 0")
