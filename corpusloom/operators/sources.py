@@ -37,7 +37,7 @@ def capped(df: DataFrame, catalogue: DataFrame, key: str = "ord", text: str = "t
     if only:
         spec = spec.where(F.col(source).isin(only))
     rows = df.join(F.broadcast(spec), source).where(F.coalesce(F.length(text), F.lit(0)) >= F.coalesce("min_chars", F.lit(0)))
-    kept = rows.withColumn("_cap", F.greatest(F.col("max_docs"), F.lit(1)))
+    kept = rows.withColumn("_cap", F.when(F.col("max_docs").isNotNull(), F.greatest(F.col("max_docs"), F.lit(1))))
     return _first_n(kept, source, key, "_cap").drop("_cap", "max_docs", "min_chars")
 
 

@@ -59,10 +59,10 @@ def test_wiki(spark):
 
 
 def test_caps(spark):
-    specs = [sources.SourceSpec("a", "d", None, "train", 2, 3), sources.SourceSpec("b", "d", None, "train", 0, 0)]
-    df = spark.createDataFrame([(i, s, t) for i, (s, t) in enumerate([("a", "xx"), ("a", "xxx"), ("a", "xxxx"), ("a", "xxxxx"), ("b", None), ("b", "y"), ("c", "zzz"), (None, "zzz")])], "ord long, source string, text string")
+    specs = [sources.SourceSpec("a", "d", None, "train", 2, 3), sources.SourceSpec("b", "d", None, "train", 0, 0), sources.SourceSpec("e", "d", None, "train", None, 0)]
+    df = spark.createDataFrame([(i, s, t) for i, (s, t) in enumerate([("a", "xx"), ("a", "xxx"), ("a", "xxxx"), ("a", "xxxxx"), ("b", None), ("b", "y"), ("c", "zzz"), (None, "zzz"), ("e", "1"), ("e", "2")])], "ord long, source string, text string")
     catalogue = sources.catalogue_frame(spark, specs)
-    assert sorted(r.ord for r in sources.capped(df, catalogue).collect()) == [1, 2, 4]
+    assert sorted(r.ord for r in sources.capped(df, catalogue).collect()) == [1, 2, 4, 8, 9]
     assert sorted(r.ord for r in sources.capped(df, catalogue, only=["a"]).collect()) == [1, 2]
     b = {r.source: (r.docs, r.chars) for r in sources.budget(df).collect()}
     assert b["a"] == (4, 14) and b["b"] == (1, 1) and b[None] == (1, 3)
