@@ -1,15 +1,15 @@
 """Admission of batches against all history (problem 6).
 
-The ledger keeps three bucketed tables in the shared folder, appended to batch by batch:
+The ledger keeps two bucketed tables in the shared folder, appended to batch by batch:
 
-- ``docs``   (k1, k2, id): hashes of the normalised content (the sequence of words),
-- ``paras``  (p, id): hashes of paragraphs,
+- ``hashes`` (p, id): the hash of the normalised content (the sequence of words), and the
+  hashes of its paragraphs,
 - ``sets``   (id, grams): hashes of the runs of words, for the exact comparison.
 
-A new batch is hashed once. A join on ``docs`` finds full copies; a join on ``paras``
-gives, for each new and accepted record, how many paragraphs they have in common
-(coverage); pairs with coverage are compared exactly. The history's text is never read
-again, and only the buckets' hashes meet the batch.
+A new batch is hashed once. A bucket-local join on ``hashes`` gives, for each new and
+accepted record, how many of them they have in common (full copies share them all);
+pairs with any coverage are compared exactly. The history's text is never read again,
+and only the buckets' hashes meet the batch.
 
 Records are short lines, often without a paragraph break, so the paragraphs hashed are
 passages of ``size`` words chosen by content (winnowing): two records that share
@@ -22,11 +22,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..runtime import drop_path, stash, stash_path
@@ -88,7 +86,7 @@ def _prepare(key: str, column: str, min_words: int, n: int, size: int, window: i
 
 
 SCHEMA = "id long, k1 long, k2 long, words int, paras array<long>, with_previous array<long>, with_next array<long>, grams array<long>"
-_TABLES = {"docs": ("k1", "k1 long, k2 long, id long"), "paras": ("p", "p long, id long"), "sets": ("id", "id long, grams array<long>")}
+_TABLES = {"hashes": ("p", "p long, id long"), "sets": ("id", "id long, grams array<long>")}
 
 
 class Ledger:
@@ -121,13 +119,15 @@ class Ledger:
 
     def _posts(self, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(p, id): what a record is looked up by (hot passages in context), and all that is stored of it."""
+        whole = reps.select(F.xxhash64("k1", "k2").alias("p"), "id")
         each = reps.select("id", F.explode(F.arrays_zip("paras", "with_previous", "with_next")).alias("x")).select("id", "x.*")
-        counted = each.select(F.col("paras").alias("p")).unionByName(self._table("paras").select("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
-        hot = counted.where(F.col("n") > self.hot).select(F.col("p").alias("paras"), F.lit(True).alias("hot"))
+        mine = each.select(F.col("paras").alias("p"))
+        known = self._table("hashes").select("p").join(mine.distinct(), "p", "left_semi")
+        hot = mine.unionByName(known).groupBy("p").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > self.hot).select(F.col("p").alias("paras"), F.lit(True).alias("hot"))
         looked = each.join(hot, "paras", "left").select("id", F.explode(F.when(F.col("hot"), F.array("with_previous", "with_next")).otherwise(F.array("paras"))).alias("p"))
         # everything is stored in both ways, so a passage can become hot later
         stored = each.select("id", F.explode(F.array("paras", "with_previous", "with_next")).alias("p"))
-        return looked.select("p", "id").distinct(), stored.select("p", "id").distinct()
+        return looked.select("p", "id").unionByName(whole).distinct(), stored.select("p", "id").unionByName(whole)
 
     def admit(self, batch: DataFrame, key: str = "record_id", column: str = "text") -> DataFrame:
         """(accepted_id, record_id) of the refused records of ``batch``; accepts the others."""
@@ -135,19 +135,16 @@ class Ledger:
         made = stash(rows.mapInArrow(_prepare(key, column, self.min_words, self.n, self.size, self.window), SCHEMA), "p6-made")
         first = made.groupBy("k1", "k2").agg(F.min("id").alias("rep"))
         members = made.select("id", "k1", "k2").join(first, ["k1", "k2"]).select("id", "rep").distinct()
-        reps = made.join(first.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-        copies = stash(reps.select("id", "k1", "k2").join(self._table("docs").withColumnRenamed("id", "a"), ["k1", "k2"]).select("a", F.col("id").alias("b")), "p6-copies")
-        fresh = stash(reps.join(copies.select(F.col("b").alias("id")), "id", "left_anti"), "p6-fresh")
+        fresh = stash(made.join(first.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"]), "p6-fresh")
 
         searched, stored = self._posts(fresh)
         searched = stash(searched, "p6-posts")
         new = searched.select("p", F.col("id").alias("b"))
-        old = self._table("paras").select("p", F.col("id").alias("a"))
+        old = self._table("hashes").select("p", F.col("id").alias("a"))
         among = searched.select("p", F.col("id").alias("a"))
         covered = new.join(old, "p").unionByName(new.join(among, "p").where("a < b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("covered"))
-        pairs = stash(covered, "p6-pairs")  # covered: passages in common
-        of = fresh.select("id", "grams").unionByName(self._table("sets"))
-        sets = of.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+        pairs = stash(covered, "p6-pairs")  # covered: hashes in common
+        sets = fresh.select("id", "grams").unionByName(self._table("sets"))
         common = F.size(F.array_intersect("ga", "gb"))
         links = (
             pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a")
@@ -164,7 +161,7 @@ class Ledger:
         refused = self._first_wins(edges, refused)
         accepted = stash(inside.join(refused, "id", "left_anti"), "p6-accepted")
 
-        takers = by_history.unionByName(edges.join(accepted.select(F.col("id").alias("a")), "a", "left_semi")).unionByName(copies)
+        takers = by_history.unionByName(edges.join(accepted.select(F.col("id").alias("a")), "a", "left_semi"))
         # a copy repeats what its class repeats, and the class's first record where that was accepted
         whole = takers.select("a", F.col("b").alias("rep")).unionByName(accepted.select(F.col("id").alias("a"), F.col("id").alias("rep")))
         # links name the earlier representative first; later copies also follow later ones
@@ -173,15 +170,9 @@ class Ledger:
         found = whole.unionByName(later).join(members.select("rep", F.col("id").alias("record_id")), "rep").where("a <> record_id")
         found = found.join(own.withColumn("same", F.lit(True)), "a", "left").where("same is null or a < record_id")
         keep = fresh.join(accepted, "id", "left_semi")
-        # four writes that don't wait for one another
-        jobs = [
-            lambda: stash(found.select(F.col("a").alias("accepted_id"), "record_id").distinct(), "p6-found"),
-            lambda: self._append("docs", keep.select("k1", "k2", "id")),
-            lambda: self._append("paras", stored.join(accepted, "id", "left_semi").select("p", "id")),
-            lambda: self._append("sets", keep.select("id", "grams")),
-        ]
-        with ThreadPoolExecutor(len(jobs)) as pool:
-            result = [job.result() for job in [pool.submit(inheritable_thread_target(self.spark)(j)) for j in jobs]][0]
+        result = stash(found.select(F.col("a").alias("accepted_id"), "record_id").distinct(), "p6-found")
+        self._append("hashes", stored.join(accepted, "id", "left_semi").select("p", "id"))
+        self._append("sets", keep.select("id", "grams"))
         self.empty = False
         return result
 
