@@ -57,6 +57,21 @@ def stash_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "corpusloom", f"{name}-{uuid.uuid4().hex}")
 
 
+_stashed: list[tuple[SparkSession, str]] = []
+
+
+def _clear() -> None:
+    """Remove what this application stashed, when it ends."""
+    for spark, path in _stashed:
+        if path.startswith(("file:", "/")):
+            shutil.rmtree(path.removeprefix("file:").replace("//", "/", 1), ignore_errors=True)
+        elif SparkSession.getActiveSession() is spark:
+            drop_path(spark, path)
+
+
+atexit.register(_clear)
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -65,6 +80,7 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = stash_path(spark, name)
+    _stashed.append((spark, path))
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
