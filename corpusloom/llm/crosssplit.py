@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..runtime import stash
 from . import textkernel as K
-from .near import only
+from .near import only, spread
 
 COUNT_BITS, WEIGHT_BITS, PIECE = 16, 22, 1 << 14
 
@@ -169,11 +169,13 @@ def by_side(df: DataFrame, key: str, split: str = "split", column: str = "text")
 
 
 def cross_pairs(df: DataFrame, key: str = "line_id", split: str = "split", column: str = "text") -> DataFrame:
-    """(key_a, key_b): a line in train and one held out that (nearly) repeats it, smaller key first."""
+    """(key_a, key_b): a line in train and one held out that (nearly) repeats it, smaller key first.
+
+    Very large classes of copies are paired through their representatives (``near.spread``).
+    """
     members, links = cross_links(by_side(df, key, split, column))
-    train = members.where("not held").select(F.col("id").alias("x"), F.col("class_id").alias("a"))
-    held = members.where("held").select(F.col("id").alias("y"), F.col("class_id").alias("b"))
-    pairs = links.join(train, "a").join(held, "b")
+    members = stash(members, "p4-members")
+    pairs = spread(links, members.where("not held"), members.where("held"))
     return pairs.select(F.least("x", "y").alias(f"{key}_a"), F.greatest("x", "y").alias(f"{key}_b"))
 
 

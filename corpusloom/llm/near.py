@@ -27,6 +27,8 @@ from ..runtime import stash
 from . import textkernel as K
 
 POSITIONS, WIDTH = 32, 4
+#: Copies up to this number are spelled out as all their pairs; a larger class as pairs with its representative.
+SPELLED = 100
 
 
 def _signer(column: str, key: str, min_words: int, n: int, positions: int, passed: list[str]):
@@ -143,14 +145,36 @@ def near_classes(df: DataFrame, key: str, column: str, threshold: float = 0.7, m
     return members, stash(verified(found, sets, threshold), "p1-links")
 
 
-def expand(members: DataFrame, links: DataFrame, left: str, right: str) -> DataFrame:
-    """All pairs of records: of linked classes, and of copies within a class; smaller key first."""
-    of = members.groupBy("class_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("class_id")
-    copies = members.join(of, "class_id", "left_semi")
-    m = members.select("id", "class_id")
-    across = links.select("a", "b").join(m.select(F.col("id").alias("x"), F.col("class_id").alias("a")), "a").join(m.select(F.col("id").alias("y"), F.col("class_id").alias("b")), "b").select("x", "y")
-    within = copies.select(F.col("id").alias("x"), "class_id").join(copies.select(F.col("id").alias("y"), "class_id"), "class_id").where("x < y").select("x", "y")
-    return across.unionByName(within).select(F.least("x", "y").alias(left), F.greatest("x", "y").alias(right))
+def spread(links: DataFrame, left: DataFrame, right: DataFrame, spelled: int = SPELLED) -> DataFrame:
+    """(x, y): the pairs of records that links (a, b) between classes stand for.
+
+    ``left`` and ``right``: (id, class_id) of either side. Classes whose pairs would be more
+    than ``spelled`` squared are not multiplied out: each record of one is paired with
+    the other's representative, so no record and no link is lost and rows stay linear.
+    """
+    sizes = lambda m, k, n: m.groupBy(F.col("class_id").alias(k)).agg(F.count(F.lit(1)).alias(n), F.min("id").alias(f"r{n}"))
+    l, r = left.select(F.col("id").alias("x"), F.col("class_id").alias("a")), right.select(F.col("id").alias("y"), F.col("class_id").alias("b"))  # noqa: E741
+    sized = links.select("a", "b").join(sizes(left, "a", "m"), "a").join(sizes(right, "b", "n"), "b")
+    sized = stash(sized, "sized-links")
+    few, many = sized.where(F.col("m") * F.col("n") <= spelled * spelled), sized.where(F.col("m") * F.col("n") > spelled * spelled)
+    out = few.select("a", "b").join(l, "a").join(r, "b").select("x", "y")
+    stars = many.join(l, "a").select("x", F.col("rn").alias("y")).unionByName(many.join(r, "b").select(F.col("rm").alias("x"), "y"))
+    return out.unionByName(stars.distinct())
+
+
+def expand(members: DataFrame, links: DataFrame, left: str, right: str, spelled: int = SPELLED) -> DataFrame:
+    """All pairs of records: of linked classes, and of copies within a class; smaller key first.
+
+    A class of more than ``spelled`` copies is given as pairs with its representative.
+    """
+    members = stash(members.select("id", "class_id"), "members")
+    across = spread(links, members, members, spelled)
+    several = members.groupBy("class_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    copies = stash(members.join(several, "class_id"), "copies")
+    small = copies.where(F.col("n") <= spelled)
+    within = small.select(F.col("id").alias("x"), "class_id").join(small.select(F.col("id").alias("y"), "class_id"), "class_id").where("x < y").select("x", "y")
+    star = copies.where((F.col("n") > spelled) & (F.col("id") != F.col("class_id"))).select(F.col("class_id").alias("x"), F.col("id").alias("y"))
+    return across.unionByName(within).unionByName(star).select(F.least("x", "y").alias(left), F.greatest("x", "y").alias(right))
 
 
 def near_pairs(df: DataFrame, key: str = "doc_id", column: str = "text", threshold: float = 0.7, min_words: int = 20, n: int = 5) -> DataFrame:

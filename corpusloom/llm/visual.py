@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..runtime import stash
 from . import textkernel as K
+from .near import spread
 
 _S_BASE, _L_BASE, _V_BASE, _T_BASE, _L_COUNT, _V_COUNT, _T_COUNT = 0xAC00, 0x1100, 0x1161, 0x11A7, 19, 21, 28
 
@@ -199,17 +200,16 @@ def same_looking(df: DataFrame, lookalikes: DataFrame, key: str = "line_id", col
     """(key_a, key_b): rows stored differently that look the same and show ``min_shown`` characters.
 
     Rows with equal text fold into one class first, so a text repeated many times is
-    compared once; a pair of classes is then spelled out as its rows' pairs.
+    compared once; a pair of classes is then spelled out as its rows' pairs, or, for very
+    large classes, as pairs with the representatives (``near.spread``).
     """
     rows = normalise(df, lookalikes, key, column).where(f"{column} is not null and {key} is not null and char_length(same_form) >= {min_shown}")
     rows = rows.select(F.col(key).cast("long").alias("id"), F.xxhash64("same_form").alias("f1"), F.md5("same_form").alias("f2"), F.md5(column).alias("stored"))
     rows = stash(rows, "p3-forms")
-    classes = rows.select("f1", "f2", "stored").distinct()
-    several = stash(classes.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f1", "f2"), "p3-several")
-    classes = classes.join(several, ["f1", "f2"], "left_semi")
-    members = rows.join(several, ["f1", "f2"], "left_semi")
-    pairs = classes.withColumnRenamed("stored", "sa").join(classes.withColumnRenamed("stored", "sb"), ["f1", "f2"]).where("sa < sb")
-    left = members.select("f1", "f2", F.col("stored").alias("sa"), F.col("id").alias("x"))
-    right = members.select("f1", "f2", F.col("stored").alias("sb"), F.col("id").alias("y"))
-    out = pairs.join(left, ["f1", "f2", "sa"]).join(right, ["f1", "f2", "sb"])
+    classes = rows.groupBy("f1", "f2", "stored").agg(F.min("id").alias("class_id"))
+    several = classes.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f1", "f2")
+    classes = stash(classes.join(several, ["f1", "f2"], "left_semi"), "p3-classes")
+    members = stash(rows.join(classes, ["f1", "f2", "stored"]).select("id", "class_id"), "p3-members")
+    links = classes.select("f1", "f2", F.col("class_id").alias("a")).join(classes.select("f1", "f2", F.col("class_id").alias("b")), ["f1", "f2"]).where("a < b").select("a", "b")
+    out = spread(links, members, members)
     return out.select(F.least("x", "y").alias(f"{key}_a"), F.greatest("x", "y").alias(f"{key}_b"))

@@ -79,6 +79,14 @@ def test_one_group_of_copies_with_a_third_of_the_rows(spark, texts):
     assert pairs(near.near_pairs(df)) >= {(i, j) for i in range(40) for j in range(i + 1, 40)}
 
 
+def test_huge_classes_are_paired_through_representatives(spark):
+    members = spark.createDataFrame([(i, 0) for i in range(6)] + [(i, 10) for i in range(10, 14)] + [(20, 20)], "id long, class_id long")
+    links = spark.createDataFrame([(0, 10), (10, 20)], "a long, b long")
+    got = pairs(near.expand(members, links, "x", "y", spelled=4))
+    star = {(0, i) for i in range(1, 6)} | {(i, 10) for i in range(6)} | {(0, i) for i in range(10, 14)}
+    assert got == star | {(i, j) for i in range(10, 14) for j in range(i + 1, 14)} | {(i, 20) for i in range(10, 14)}
+
+
 def test_token_budget(spark, docs, texts):
     rows = docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, " Web-A ").when(F.col("doc_id") % 3 == 1, "web_a")).withColumn("lang", F.lit("und")).withColumn("domain", F.lit(None).cast("string"))
     catalogue = spark.createDataFrame([("web_a", 1)], "name string, max_docs long")
