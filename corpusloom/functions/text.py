@@ -32,9 +32,9 @@ def _nfc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def nfc(c: Column | str) -> Column:
-    """Canonical composition. ASCII texts, which it cannot change, keep their value."""
+    """Canonical composition. ASCII texts, which it cannot change, are not sent to Python."""
     c = _col(c)
-    return F.when(c.rlike(r"[^\x00-\x7F]"), _nfc(c)).otherwise(c)
+    return F.coalesce(_nfc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
 
 
 def clean_text(c: Column | str) -> Column:
