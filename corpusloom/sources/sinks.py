@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from ..operators.tokens import as_uint16
+from ..runtime import drop_path
 
 
 def write_jsonl(df: DataFrame, path: str, fields: tuple[str, ...] = ("text",)) -> None:
@@ -36,7 +37,10 @@ def write_source(df: DataFrame, path: str, source: str) -> dict:
         docs = spark.read.text(path).count()
     except Exception as e:  # noqa: BLE001 - one source must not end the others
         return {"source": source, "error": str(e)[:120]}
-    return {"source": source, "docs": docs} if docs else {"source": source, "error": "no documents"}
+    if not docs:
+        drop_path(spark, path)  # an empty write must not count as complete
+        return {"source": source, "error": "no documents"}
+    return {"source": source, "docs": docs}
 
 
 class TokenFileSource(DataSource):
