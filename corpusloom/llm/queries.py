@@ -96,7 +96,7 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents and the benchmark items of which 8 plain words in a row stand in them."""
-    return leak.passages(load(spark, d, "documents"), load(spark, d, "benchmark")).select("doc_id", "item_id")
+    return leak.passages(load(spark, d, "documents"), load(spark, d, "benchmark")).select("doc_id", "item_id").distinct()
 
 
 def p9_near(spark: SparkSession, d: str) -> DataFrame:

@@ -242,3 +242,14 @@ def test_spans(docs, texts, monkeypatch):
                 covered[k : k + 200] = True
         assert share[i].shared_chars == covered.sum()
     assert spans.span_pairs(docs.limit(0)).count() == 0
+
+
+def test_repeated_rows_change_nothing(docs):
+    twice = docs.unionByName(docs)
+    assert pairs(near.near_pairs(twice)) == pairs(near.near_pairs(docs))
+    assert pairs(spans.span_pairs(twice)) == pairs(spans.span_pairs(docs))
+    assert sorted(near.near_groups(twice).collect()) == sorted(near.near_groups(docs).collect())
+    lines = docs.withColumn("split", F.when(F.col("doc_id") % 2 == 0, "train").otherwise("test")).withColumnRenamed("doc_id", "line_id")
+    assert pairs(crosssplit.cross_pairs(lines.unionByName(lines))) == pairs(crosssplit.cross_pairs(lines))
+    batches = docs.withColumnRenamed("doc_id", "record_id").withColumn("batch_no", F.lit(1))
+    assert pairs(ledger.admit_all(batches.unionByName(batches))) == pairs(ledger.admit_all(batches))
