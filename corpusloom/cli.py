@@ -57,9 +57,9 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "collect":
         sinks.write_jsonl(readers.local_text(spark, a.text_dir), f"{a.output_dir}/local_text.jsonl", ("text", "source"))
     elif a.command == "dedup":
-        docs = readers.with_ord(readers.read_documents(spark, readers.existing(a.input)), ["source_ord", "path", "text"])
+        docs = readers.with_ord(readers.read_documents(spark, readers.existing(a.input)), readers.INPUT_ORDER)
         kept, stats = dedup.near_dedup(docs, a.threshold)
-        sinks.write_jsonl(kept, a.out)
+        sinks.write_jsonl(kept.orderBy("ord"), a.out)
         print(dedup.format_dedup_stats(stats.first()))
     elif a.command == "overlap":
         held = _numbered(spark, a.index).where(F.col("ord") < a.limit)

@@ -15,8 +15,8 @@ from ..sources import readers, sinks
 
 
 def prepare(spark: SparkSession, paths: list[str], out_dir: str, make: Callable[[], tokens.Tokenizer], val_fraction: float = 0.005, min_chars: int = 64, eos_id: int | None = None) -> dict:
-    """Clean, drop short and repeated texts, encode, and write train.bin and val.bin."""
-    docs = stash(readers.with_ord(readers.read_documents(spark, readers.existing(paths)).where("text is not null"), ["source_ord", "path", "text"]), "prepare-docs")
+    """Clean, drop short and repeated texts, encode in input order, and write train.bin and val.bin."""
+    docs = stash(readers.with_ord(readers.read_documents(spark, readers.existing(paths)).where("text is not null"), readers.INPUT_ORDER), "prepare-docs")
     kept = stash(dedup.exact_dedup_clean(docs, min_chars), "prepare-kept")
     stats = dedup.clean_stats(docs, min_chars).first()
     if not stats.documents_kept:

@@ -39,12 +39,22 @@ def text_documents(spark: SparkSession, path: str | list[str], suffix: str | Non
     return files.select("path", F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")).alias("text"))
 
 
+#: The input order of ``read_documents``: inputs, files, splits of a file, lines of a split.
+INPUT_ORDER = ["source_ord", "path", "split_start", "split_line"]
+
+
+def jsonl_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(path, split_start, split_line, text): JSON lines with what orders them, however the files are split."""
+    rows = jsonl(spark, path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split_start"), "text")
+    return rows.select("path", "split_start", F.monotonically_increasing_id().alias("split_line"), "text")
+
+
 def read_documents(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(source_ord, path, text): .jsonl files by line, any other file as one document, in the given order."""
-    out = spark.createDataFrame([], "source_ord int, path string, text string")
+    """(source_ord, path, split_start, split_line, text): .jsonl files by line, any other file as one document, to be taken in ``INPUT_ORDER``."""
+    out = spark.createDataFrame([], "source_ord int, path string, split_start long, split_line long, text string")
     for i, path in enumerate(paths):
-        rows = jsonl(spark, path).withColumn("path", F.lit(path)) if path.endswith(".jsonl") else text_documents(spark, path)
-        out = out.unionByName(rows.select(F.lit(i).alias("source_ord"), "path", "text"))
+        rows = jsonl_lines(spark, path) if path.endswith(".jsonl") else text_documents(spark, path).select("*", F.lit(0).cast("long").alias("split_start"), F.lit(0).cast("long").alias("split_line"))
+        out = out.unionByName(rows.withColumn("source_ord", F.lit(i)))
     return out
 
 

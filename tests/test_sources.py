@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom import cli
 from corpusloom.operators import sources, tokens
 from corpusloom.operators.prefix import running_total
 from corpusloom.plans import prepare
@@ -133,6 +134,41 @@ def test_prepare_and_tokenize_write_the_stream_in_order(spark, frame, tmp_path):
         prepare.prepare(spark, [str(src)], str(tmp_path / "q"), tokens.ByteTokenizer, min_chars=10_000)
 
 
+def _out_of_order(folder, n=120):
+    """Two files of distinct texts, neither alphabetical nor in the order of the file names."""
+    texts = [f"{(i * 37) % n:03d} numbered text {i} " + "words of it " * 8 + "." for i in range(n)]
+    files = [folder / "z.jsonl", folder / "a.jsonl"]
+    for f, rows in zip(files, (texts[: n // 2], texts[n // 2 :])):
+        f.write_text("".join(json.dumps({"text": t}) + "\n" for t in rows))
+    return texts, [str(f) for f in files]
+
+
+def test_prepare_keeps_the_input_order(spark, tmp_path):
+    texts, files = _out_of_order(tmp_path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")  # several splits a file
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert readers.jsonl(spark, files[0]).rdd.getNumPartitions() > 2
+        prepare.prepare(spark, files, str(tmp_path / "p"), tokens.ByteTokenizer, 0.1, eos_id=256)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    stream = np.concatenate([np.fromfile(tmp_path / "p" / f"{w}.bin", "<u2") for w in ("train", "val")])
+    assert stream.tolist() == [i for t in texts for i in [*t.encode(), 256]]
+
+
+def test_cli_dedup_keeps_the_first_in_input_order(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    words = lambda: " ".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), (60, 6)).view("<U6").ravel())
+    base, others = words(), [words() for _ in range(6)]
+    texts = [*others[:3], f"{base} zz", *others[3:], f"{base} aa"]  # the later near-duplicate is the alphabetically first
+    source = tmp_path / "in.jsonl"
+    source.write_text("".join(json.dumps({"text": t}) + "\n" for t in texts))
+    assert cli.main(["dedup", "--input", str(source), "--out", str(tmp_path / "out")]) == 0
+    kept = [json.loads(line)["text"] for f in sorted((tmp_path / "out").glob("part-*")) for line in f.read_text().splitlines()]
+    assert kept == texts[:-1]
+
+
 def test_source_sink(spark, frame, tmp_path):
     path = str(tmp_path / "s")
     assert sinks.write_source(frame(["a", "b"]), path, "s") == {"source": "s", "docs": 2}
