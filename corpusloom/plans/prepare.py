@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
+from pyspark.cloudpickle import dumps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import dedup, tokens
-from ..runtime import stash
+from ..runtime import drop_path, stash
 from ..sources import readers, sinks
 
 
@@ -28,17 +31,36 @@ def prepare(spark: SparkSession, paths: list[str], out_dir: str, make: Callable[
     return {"clean": stats.asDict(), **out, "tokens_per_char": total / max(1, stats.characters)}
 
 
+def _encoding_id(lines: DataFrame, make: Callable[[], tokens.Tokenizer], eos_id: int | None, limit: int | None) -> str:
+    """Names an encoding by its lines' positions and texts, the limit, the tokenizer and the end id.
+
+    A tokenizer that cannot be serialised gives a new name each time, so it is never taken for another one.
+    """
+    content = lines.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(ord, text))"), F.expr("sum(cast(xxhash64(text, ord) as decimal(38, 0)))")).first()
+    tokenizer = make()
+    try:
+        made = dumps((make, tokenizer))
+    except Exception:  # noqa: BLE001 - whatever pickling raises
+        made = uuid.uuid4().bytes
+    sample = [tokenizer.encode(r.text) for r in lines.orderBy("ord").limit(20).collect()]
+    return hashlib.sha256(made + repr((tuple(content), sample, eos_id, limit)).encode()).hexdigest()
+
+
 def tokenize_corpus(frames: list[DataFrame], out_dir: str, make: Callable[[], tokens.Tokenizer], eos_id: int | None = None, val_fraction: float = 0.002, limit: int | None = None, order: str = "ord") -> dict:
     """Encode inputs one after the other, without cleaning, and write both parts.
 
-    A finished encoding stage is kept under ``out_dir`` with the lines it covers, so a run
-    that is interrupted while writing starts again from there and gives the same files.
+    A finished encoding stage is kept under ``out_dir`` until both files are written, so a
+    run that is interrupted while writing starts again from there and gives the same files.
+    It is named by what it encodes (``_encoding_id``): with other lines, another limit,
+    tokenizer or end id, everything is encoded again.
     """
     began = time.perf_counter()
     spark = frames[0].sparkSession
-    staged = f"{out_dir}/tokens.stage"
+    lines = readers.ordered_union(frames, order, limit=limit).select(F.col("line").alias("ord"), "text")
+    stages = f"{out_dir}/tokens.stage"
+    staged = f"{stages}/{_encoding_id(lines, make, eos_id, limit)}"
     if not sinks.committed(spark, staged):
-        lines = readers.ordered_union(frames, order, limit=limit).select(F.col("line").alias("ord"), "text")
+        drop_path(spark, stages)  # of another encoding
         tokens.encode(lines, make, eos_id).write.mode("overwrite").parquet(staged)
     encoded = spark.read.parquet(staged)
     parts = stash(tokens.split(encoded, lambda n: tokens.val_size_stream(n, val_fraction)), "tokenize-split")
@@ -48,4 +70,5 @@ def tokenize_corpus(frames: list[DataFrame], out_dir: str, make: Callable[[], to
     distinct = tokens.distinct_in_prefix(tokens.part(parts, "train")).first()[0]
     report = {**out, "elapsed_s": time.perf_counter() - began, "distinct_tokens_in_first_5M": distinct}
     Path(f"{out_dir}/report.json").write_text(json.dumps(report))
+    drop_path(spark, stages)  # complete: nothing to resume
     return report

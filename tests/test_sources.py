@@ -169,6 +169,39 @@ def test_cli_dedup_keeps_the_first_in_input_order(spark, tmp_path):
     assert kept == texts[:-1]
 
 
+class _Upper(tokens.ByteTokenizer):
+    def encode(self, text):
+        return super().encode(text.upper())
+
+
+def test_tokenize_encodes_again_what_has_changed(spark, frame, tmp_path, monkeypatch):
+    out, encoded, write = str(tmp_path / "t"), [], sinks.write_tokens
+    monkeypatch.setattr(tokens, "encode", lambda *a, f=tokens.encode: encoded.append(1) or f(*a))
+
+    def stream(texts, make=tokens.ByteTokenizer, eos=256, limit=None):
+        prepare.tokenize_corpus([frame(texts)], out, make, eos, 0.1, limit)
+        return np.concatenate([np.fromfile(tmp_path / "t" / f"{w}.bin", "<u2") for w in ("train", "val")]).tolist()
+
+    def interrupted(*a):
+        monkeypatch.setattr(sinks, "write_tokens", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            stream(*a)
+        monkeypatch.setattr(sinks, "write_tokens", write)
+
+    assert stream(["ab", "cd"], limit=1) == [*b"ab", 256]
+    assert stream(["ab", "cd"]) == [*b"ab", 256, *b"cd", 256]
+    assert stream(["ab", "cd", "ef"]) == [*b"ab", 256, *b"cd", 256, *b"ef", 256]
+    assert not (tmp_path / "t" / "tokens.stage").exists()
+    encoded.clear()
+    interrupted(["ab", "cd"])
+    assert stream(["ab", "cd"]) == [*b"ab", 256, *b"cd", 256] and len(encoded) == 1  # resumed
+    for change in ((["ab", "ce"],), (["ab", "cd"], _Upper), (["ab", "cd"], tokens.ByteTokenizer, 9), (["ab", "cd"], tokens.ByteTokenizer, 256, 1)):
+        interrupted(["ab", "cd"])
+        encoded.clear()
+        stream(*change)
+        assert len(encoded) == 1
+
+
 def test_source_sink(spark, frame, tmp_path):
     path = str(tmp_path / "s")
     assert sinks.write_source(frame(["a", "b"]), path, "s") == {"source": "s", "docs": 2}
