@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..runtime import stash
 from . import textkernel as K
-from .near import only, spread
+from .near import by_text, folded, only, spread, text_ids
 
 COUNT_BITS, WEIGHT_BITS, PIECE = 16, 22, 1 << 14
 
@@ -112,8 +112,8 @@ def _poster(column: str, shared, min_words: int, n: int, cosine: float):
                 high, low = K.sequence_keys(words, edges)
                 at = np.concatenate([[0], np.cumsum(np.bincount(row[posted], minlength=len(sizes)))])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id").take(rows), pa.array(held), K.int64s(high), K.int64s(low), pa.array(sizes.astype(np.int32)), K.int_lists(grams[posted], at)],
-                    ["id", "held", "k1", "k2", "size", "posted"],
+                    [part.column("id").take(rows), pa.array(held), part.column("t").take(rows), K.int64s(high), K.int64s(low), pa.array(sizes.astype(np.int32)), K.int_lists(grams[posted], at)],
+                    ["id", "held", "t", "k1", "k2", "size", "posted"],
                 )
 
     return run
@@ -130,20 +130,23 @@ def _term_sets(column: str, min_words: int, n: int):
 
 
 def cross_links(lines: DataFrame, column: str = "text", threshold: float = 0.6, min_words: int = 8, n: int = 3) -> tuple[DataFrame, DataFrame]:
-    """``members`` (id, class_id, held) and ``links`` (a, b, cosine): a in train, b held out.
+    """``members`` (id, class_id, held, text_id) and ``links`` (a, b, cosine): a in train, b held out.
 
     ``lines``: (id, held, text), held false in train. Lines with the same plain words on
-    the same side form a class; links are between classes and exact. Lines under
+    the same side form a class, those of them with the same stored text have the same
+    ``text_id``; links are between classes and exact. Lines under
     ``min_words`` plain words, and null ids, sides or texts, take no part.
     """
     lines = lines.where(f"id is not null and held is not null and {column} is not null")
     shared = lines.sparkSession.sparkContext.broadcast(sketches(lines, column, min_words, n))
     cosine = 2 * threshold / (1 + threshold)
-    posted = lines.mapInArrow(_poster(column, shared, min_words, n, cosine), "id long, held boolean, k1 long, k2 long, size int, posted array<long>")
+    hashed = lines.select("id", "held", column, F.xxhash64(column).alias("t"))
+    posted = hashed.mapInArrow(_poster(column, shared, min_words, n, cosine), "id long, held boolean, t long, k1 long, k2 long, size int, posted array<long>")
     posted = stash(posted, "p4-posted")
     classes = posted.groupBy("held", "k1", "k2").agg(F.min("id").alias("class_id"), F.first("size").alias("size"), F.first("posted").alias("posted"))
     classes = stash(classes, "p4-classes")
-    members = posted.select("id", "held", "k1", "k2").join(classes.select("held", "k1", "k2", "class_id"), ["held", "k1", "k2"]).select("id", "class_id", "held").distinct()
+    members = posted.select("id", "held", "k1", "k2", "t").join(classes.select("held", "k1", "k2", "class_id"), ["held", "k1", "k2"]).join(text_ids(posted, ["held", "k1", "k2"]), ["held", "k1", "k2", "t"])
+    members = members.groupBy("id", "class_id", "held").agg(F.min("text_id").alias("text_id"))
     lists = classes.where("size(posted) > 0").select("class_id", "held", "size", F.explode("posted").alias("term"))
     train = lists.where("not held").select(F.col("class_id").alias("a"), F.col("size").alias("na"), "term")
     held = lists.where("held").select(F.col("class_id").alias("b"), F.col("size").alias("nb"), "term")
@@ -171,11 +174,13 @@ def by_side(df: DataFrame, key: str, split: str = "split", column: str = "text")
 def cross_pairs(df: DataFrame, key: str = "line_id", split: str = "split", column: str = "text") -> DataFrame:
     """(key_a, key_b): a line in train and one held out that (nearly) repeats it, smaller key first.
 
-    Very large classes of copies are paired through their representatives (``near.spread``).
+    Every two stored texts come out; many copies of one are paired through their
+    representative (``near.spread``).
     """
     members, links = cross_links(by_side(df, key, split, column))
     members = stash(members, "p4-members")
-    pairs = spread(links, members.where("not held"), members.where("held"))
+    train, held = members.where("not held"), members.where("held")
+    pairs = spread(by_text(links, train, held), folded(train), folded(held))
     return pairs.select(F.least("x", "y").alias(f"{key}_a"), F.greatest("x", "y").alias(f"{key}_b"))
 
 

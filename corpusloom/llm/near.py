@@ -27,7 +27,7 @@ from ..runtime import stash
 from . import textkernel as K
 
 POSITIONS, WIDTH = 32, 4
-#: Copies up to this number are spelled out as all their pairs; a larger class as pairs with its representative.
+#: Copies of one stored text up to this number are spelled out as all their pairs; more as pairs with their representative.
 SPELLED = 100
 
 
@@ -129,16 +129,35 @@ def only(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return df.join(wanted.withColumnRenamed("id", key), key, "left_semi")
 
 
+def text_ids(rows: DataFrame, words: list[str]) -> DataFrame:
+    """(*words, t, text_id): the stored texts (hash ``t``) of each class of words, named by the smallest id."""
+    return rows.groupBy(*words, "t").agg(F.min("id").alias("text_id"))
+
+
+def by_text(links: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """(a, b): every stored text of one class with every one of the linked class; sides: (id, class_id, text_id)."""
+    texts = lambda m, k, t: m.select(F.col("class_id").alias(k), F.col("text_id").alias(t)).distinct()
+    both = links.select(F.col("a").alias("ca"), F.col("b").alias("cb")).join(texts(left, "ca", "a"), "ca").join(texts(right, "cb", "b"), "cb")
+    return both.select("a", "b")
+
+
+def folded(members: DataFrame) -> DataFrame:
+    """(id, class_id) with each stored text as a class of its own."""
+    return members.select("id", F.col("text_id").alias("class_id"))
+
+
 def near_classes(df: DataFrame, key: str, column: str, threshold: float = 0.7, min_words: int = 20, n: int = 5) -> tuple[DataFrame, DataFrame]:
-    """Copies and near-duplicates: ``members`` (id, class_id) and ``links`` (a, b, jaccard) between classes.
+    """Copies and near-duplicates: ``members`` (id, class_id, text_id) and ``links`` (a, b, jaccard) between classes.
 
-    A class holds the records with the same words; its id is the smallest key. ``links``
-    names each pair of different classes once, a < b. Records under ``min_words`` words
+    A class holds the records with the same words; its id is the smallest key, and
+    ``text_id`` the smallest key of the class with the same stored text. ``links`` names each pair of different classes once, a < b. Records under ``min_words`` words
     are in neither. Nulls: no row. Repeated rows of one key: one member.
     """
-    signed = stash(signatures(df, key, column, min_words, n), "p1-signed")
+    hashed = df.select(key, column, F.xxhash64(column).alias("t"))
+    signed = stash(signatures(hashed, key, column, min_words, n, passed=("t",)), "p1-signed")
     classes = stash(signed.groupBy("k1", "k2").agg(F.min("id").alias("class_id"), F.first("runs").alias("runs"), F.first("sig").alias("sig")), "p1-classes")
-    members = signed.select("id", "k1", "k2").join(classes.select("k1", "k2", "class_id"), ["k1", "k2"]).select("id", "class_id").distinct()
+    members = signed.select("id", "k1", "k2", "t").join(classes.select("k1", "k2", "class_id"), ["k1", "k2"]).join(text_ids(signed, ["k1", "k2"]), ["k1", "k2", "t"])
+    members = members.groupBy("id", "class_id").agg(F.min("text_id").alias("text_id"))
     found = stash(candidates(classes), "p1-candidates")
     wanted = stash(found.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "p1-wanted")
     sets = stash(run_sets(only(df.select(F.col(key).cast("long").alias(key), column), key, wanted), key, column, n).dropDuplicates(["id"]), "p1-sets")
@@ -178,9 +197,16 @@ def expand(members: DataFrame, links: DataFrame, left: str, right: str, spelled:
 
 
 def near_pairs(df: DataFrame, key: str = "doc_id", column: str = "text", threshold: float = 0.7, min_words: int = 20, n: int = 5) -> DataFrame:
-    """(key_a, key_b): every two records whose run sets have at least this Jaccard similarity."""
+    """(key_a, key_b): every two records whose run sets have at least this Jaccard similarity.
+
+    Every two stored texts come out, whatever the sizes of their classes; only many
+    copies of one stored text are given through their representative.
+    """
     members, links = near_classes(df, key, column, threshold, min_words, n)
-    return expand(members, links, f"{key}_a", f"{key}_b")
+    members = stash(members, "p1-members")
+    several = members.where("text_id <> class_id").select(F.col("class_id").alias("a"), F.col("class_id").alias("b")).distinct()
+    within = by_text(several, members, members).where("a < b")
+    return expand(folded(members), by_text(links, members, members).unionByName(within), f"{key}_a", f"{key}_b")
 
 
 def near_groups(df: DataFrame, key: str = "doc_id", column: str = "text", threshold: float = 0.8, min_words: int = 5, n: int = 5) -> DataFrame:

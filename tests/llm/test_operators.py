@@ -87,6 +87,28 @@ def test_huge_classes_are_paired_through_representatives(spark):
     assert got == star | {(i, j) for i in range(10, 14) for j in range(i + 1, 14)} | {(i, 20) for i in range(10, 14)}
 
 
+def test_every_two_stored_texts_of_large_classes_are_listed(spark):
+    rng = random.Random(8)
+    words = sentence(rng, 150).split(" ")
+    near_words = [*words[:-2], "other", "ending"]
+    spaced = lambda w, n: [" ".join(w[:i]) + "  " + " ".join(w[i:]) for i in range(1, n + 1)]
+    rows = [*enumerate(spaced(words, 105)), *enumerate(spaced(near_words, 103), 200), *((1000 + i, " ".join(words)) for i in range(102))]
+    got = pairs(near.near_pairs(spark.createDataFrame(rows, "doc_id long, text string")))
+    texts = [i for i, _ in rows if i < 1000]
+    assert {p for p in got if p[1] < 1000} == {(a, b) for a in texts for b in texts if a < b}  # 208 stored texts, all pairs
+    assert {p for p in got if p[0] >= 1000} == {(1000, 1000 + i) for i in range(1, 102)}  # one text's many copies: a star
+    assert {p for p in got if p[0] < 1000 <= p[1]} == {(a, 1000 + i) for a in texts for i in range(102)}
+
+
+def test_every_two_stored_texts_across_splits_are_listed(spark):
+    rng = random.Random(9)
+    words = sentence(rng, 150).split(" ")
+    raised = lambda n: [" ".join([*words[:i], words[i].upper(), *words[i + 1 :]]) for i in range(n)]
+    rows = [(i, "train", t) for i, t in enumerate(raised(105))] + [(200 + i, "test", t) for i, t in enumerate(raised(103))]
+    df = spark.createDataFrame(rows, "line_id long, split string, text string")
+    assert pairs(crosssplit.cross_pairs(df)) == {(a, 200 + b) for a in range(105) for b in range(103)}
+
+
 def test_token_budget(spark, docs, texts):
     rows = docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, " Web-A ").when(F.col("doc_id") % 3 == 1, "web_a")).withColumn("lang", F.lit("und")).withColumn("domain", F.lit(None).cast("string"))
     catalogue = spark.createDataFrame([("web_a", 1)], "name string, max_docs long")
