@@ -14,9 +14,11 @@ the line can still add to a dot product is at most
 Only terms before the point where that bound falls under the threshold are posted in the
 inverted lists. If two lines share no posted term, take the one whose posting ends
 earlier in the global order: all common terms lie in its rest, so their cosine is under
-the threshold. Term counts and maximum weights come from two sketches of fixed size
-(hashed buckets, counts added and weights maximised), so they are upper bounds, what is
-broadcast doesn't grow with the data, and no result depends on their precision.
+the threshold. Term counts and maximum weights come from two sketches (hashed buckets,
+counts added and weights maximised), so they are upper bounds and no result depends on
+their precision. The held-out side is sketched first; the train side then counts only terms
+that the held-out side has. The sketches are sized by the held-out side's characters, to
+20 MB at most, which is what is broadcast.
 """
 
 from __future__ import annotations
@@ -30,9 +32,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..runtime import stash
 from . import textkernel as K
-from .near import by_text, folded, only, spread, text_ids
+from .near import by_text, classes_of, folded, only, spread, text_ids
 
-COUNT_BITS, WEIGHT_BITS, PIECE = 16, 22, 1 << 14
+#: Bounds of the sketches' sizes, as powers of two; pieces in which they are merged.
+LEAST_BITS, COUNT_BITS, WEIGHT_BITS, PIECE = 16, 20, 24, 1 << 14
 
 
 def _terms(part: pa.RecordBatch, column: str, min_words: int, n: int):
@@ -45,24 +48,28 @@ def _terms(part: pa.RecordBatch, column: str, min_words: int, n: int):
     return long, words, edges, grams, bounds
 
 
-def _sketch(column: str, min_words: int, n: int):
+def _bucket(grams: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Buckets of the terms in a table whose size is a power of two."""
+    return (grams >> K.U64(64 - (len(table).bit_length() - 1))).astype(np.int64)
+
+
+def _sketch(column: str, min_words: int, n: int, bits: tuple[int, int], known):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, weights = np.zeros(1 << COUNT_BITS, np.uint32), np.zeros(1 << WEIGHT_BITS, np.uint8)
+        counts, weights = np.zeros(1 << bits[0], np.uint32), np.zeros(1 << bits[1], np.uint8)
         for batch in batches:
             for part in K.slices(batch, column):
-                long, _, _, grams, bounds = _terms(part, column, min_words, n)
-                if not len(grams):
-                    continue
-                counts += np.bincount(grams >> K.U64(64 - COUNT_BITS), minlength=len(counts)).astype(np.uint32)
-                held = np.asarray(part.column("held").take(pa.array(np.flatnonzero(long))))
-                sizes = np.diff(bounds)
-                weight = np.ceil(255 / np.sqrt(sizes)).astype(np.uint8)  # rounded up: a bound
-                mine = np.repeat(held, sizes)
-                np.maximum.at(weights, (grams[mine] >> K.U64(64 - WEIGHT_BITS)).astype(np.int64), np.repeat(weight, sizes)[mine])
+                _, _, _, grams, bounds = _terms(part, column, min_words, n)
+                if known is None:  # the held-out side
+                    weight = np.ceil(255 / np.sqrt(np.maximum(np.diff(bounds), 1))).astype(np.uint8)  # rounded up: a bound
+                    np.maximum.at(weights, _bucket(grams, weights), np.repeat(weight, np.diff(bounds)))
+                else:
+                    grams = grams[known.value[_bucket(grams, known.value)] > 0]
+                counts += np.bincount(_bucket(grams, counts), minlength=len(counts)).astype(np.uint32)
         salt = TaskContext.get().partitionId() % 64
-        blobs = [(0, i, counts[i : i + PIECE // 4].tobytes()) for i in range(0, len(counts), PIECE // 4)] + [(1, i, weights[i : i + PIECE].tobytes()) for i in range(0, len(weights), PIECE) if weights[i : i + PIECE].any()]
-        kind, piece, blob = zip(*blobs)
-        yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(piece, pa.int32()), pa.array([salt] * len(kind), pa.int32()), pa.array(blob, pa.binary())], ["kind", "piece", "salt", "blob"])
+        cut = lambda kind, a, size: [(kind, i, a[i : i + size].tobytes()) for i in range(0, len(a), size) if a[i : i + size].any()]
+        if blobs := cut(0, counts, PIECE // 4) + cut(1, weights, PIECE):
+            kind, piece, blob = zip(*blobs)
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(piece, pa.int32()), pa.array([salt] * len(kind), pa.int32()), pa.array(blob, pa.binary())], ["kind", "piece", "salt", "blob"])
 
     return run
 
@@ -78,15 +85,20 @@ def _merge(table: pa.Table) -> pa.Table:
 
 
 def sketches(lines: DataFrame, column: str, min_words: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of all terms, and maximum weights (x 255) of the held-out side's, by bucket."""
-    schema = "kind int, piece int, salt int, blob binary"
-    made = lines.select("held", column).mapInArrow(_sketch(column, min_words, n), schema)
-    made = made.groupBy("kind", "piece", "salt").applyInArrow(_merge, schema).groupBy("kind", "piece").applyInArrow(_merge, schema)
-    counts, weights = np.zeros(1 << COUNT_BITS, np.uint32), np.zeros(1 << WEIGHT_BITS, np.uint8)
-    for kind, piece, _, blob in made.collect():  # 4.25 MB at most, whatever the data
-        a = np.frombuffer(blob, np.uint8 if kind else np.uint32)
-        (weights if kind else counts)[piece : piece + len(a)] = a
-    return counts, weights
+    """Counts, on both sides, of the terms of the held-out side, and their maximum weights (x 255) there, by bucket."""
+    chars = lines.where("held").agg(F.sum(F.length(column).cast("long"))).first()[0] or 0
+    bits = tuple(min(most, max(LEAST_BITS, (chars // 2).bit_length())) for most in (COUNT_BITS, WEIGHT_BITS))
+    tables = np.zeros(1 << bits[0], np.uint32), np.zeros(1 << bits[1], np.uint8)
+    schema, known = "kind int, piece int, salt int, blob binary", None
+    for side in ("held", "not held"):
+        made = lines.where(side).select(column).mapInArrow(_sketch(column, min_words, n, bits, known), schema)
+        made = made.groupBy("kind", "piece", "salt").applyInArrow(_merge, schema).groupBy("kind", "piece").applyInArrow(_merge, schema)
+        for kind, piece, _, blob in made.collect():  # 20 MB at most, whatever the data
+            a = np.frombuffer(blob, np.uint8 if kind else np.uint32)
+            here = tables[kind][piece : piece + len(a)]
+            here[:] = a if kind else np.minimum(here.astype(np.uint64) + a, 0xFFFFFFFF)
+        known = lines.sparkSession.sparkContext.broadcast(tables[1])
+    return tables
 
 
 def _poster(column: str, shared, min_words: int, n: int, cosine: float):
@@ -99,12 +111,12 @@ def _poster(column: str, shared, min_words: int, n: int, cosine: float):
                     continue
                 sizes = np.diff(bounds)
                 row = np.repeat(np.arange(len(sizes)), sizes)
-                order = np.lexsort((grams, counts[grams >> K.U64(64 - COUNT_BITS)], row))
+                order = np.lexsort((grams, counts[_bucket(grams, counts)], row))
                 grams = grams[order]
                 rows = pa.array(np.flatnonzero(long))
                 held = np.asarray(part.column("held").take(rows))
                 # training terms are bounded by the held-out side's maximum weights, held-out terms by 1
-                other = np.where(held[row], np.uint8(255), weights[(grams >> K.U64(64 - WEIGHT_BITS)).astype(np.int64)]) / 255.0
+                other = np.where(held[row], np.uint8(255), weights[_bucket(grams, weights)]) / 255.0
                 weight = 1.0 / np.sqrt(sizes)[row]
                 rest = lambda x: (c := np.concatenate([[0.0], np.cumsum(x)]))[bounds[1:]][row] - c[:-1]
                 bound = np.minimum(np.sqrt(np.maximum(rest(np.where(other > 0, weight * weight, 0)), 0)), rest(weight * other))
@@ -184,6 +196,24 @@ def cross_pairs(df: DataFrame, key: str = "line_id", split: str = "split", colum
     return pairs.select(F.least("x", "y").alias(f"{key}_a"), F.greatest("x", "y").alias(f"{key}_b"))
 
 
+def cross_members(df: DataFrame, key: str = "line_id", split: str = "split", column: str = "text", min_words: int = 8) -> DataFrame:
+    """(key, held, class_id, copies): each line that ``cross_pairs`` compares, with its class of lines of one side with the same stored text.
+
+    A pair of ``cross_pairs`` between members of two classes stands for every two members of
+    them. Null, shorter and split-less lines have no row. Plain words are those of ``cross_pairs``.
+    """
+    lines = by_side(df, key, split, column).where("id is not null and text is not null")
+
+    def long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in K.slices(batch, "text"):
+                _, edges = K.plain_words(K.Text.of(part.column("text"), lower=True))
+                yield part.filter(pa.array(np.diff(edges) >= min_words))
+
+    kept = lines.select("id", "held", "text").mapInArrow(long, "id long, held boolean, text string")
+    return classes_of(kept, "id", "text", "held").withColumnRenamed("id", key)
+
+
 def overlap_counts(df: DataFrame, key: str = "line_id", split: str = "split", source: str = "source", column: str = "text") -> DataFrame:
     """(split, source, lines, overlapping): lines of each split and source, and how many have a counterpart.
 

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from . import textkernel as K
@@ -166,8 +167,9 @@ def _detector(shared, key: str, column: str, passed: list[str]):
         names = pa.array([*filters.languages, None], pa.string())
         for batch in batches:
             for part in K.slices(batch, column):
-                # lower case changes no position but for one letter, so positions are those of the lower-case text there
-                row, begin, end, letters, lang, sure = segments(K.Text.of(part.column(column), lower=True), filters)
+                # the one letter whose lower case is two code points counts as its plain form, so positions are those of the stored text
+                stored = pc.replace_substring(part.column(column), "İ", "i")
+                row, begin, end, letters, lang, sure = segments(K.Text.of(stored, lower=True), filters)
                 at = pa.array(row.astype(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -12,16 +12,22 @@ The positions are 32-bit symbols, not single bits: at a similarity of 0.7 a segm
 bits would be so short that it selects nothing. At similarity s a pair is missed with
 probability (1 - s^w - w s^(w-1) (1-s))^(segments), 2.1e-4 at s = 0.7 with the defaults
 and below 1e-5 from 0.78 on.
+
+A variant that more than ``HOT`` texts share (pages around one boilerplate) pairs nothing
+by itself. Its texts are refined by their runs, rarest first (``prefix_candidates``), which
+loses no pair and meets the boilerplate's runs last, so candidates follow the similar
+pairs and not the square of the group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions.text import words
 from ..operators.components import connected_components
 from ..runtime import stash
 from . import textkernel as K
@@ -29,6 +35,8 @@ from . import textkernel as K
 POSITIONS, WIDTH = 32, 4
 #: Copies of one stored text up to this number are spelled out as all their pairs; more as pairs with their representative.
 SPELLED = 100
+#: A variant that more texts than this share is refined by the texts' rarest runs (exact, see ``prefix_candidates``).
+HOT = 64
 
 
 def _signer(column: str, key: str, min_words: int, n: int, positions: int, passed: list[str]):
@@ -88,16 +96,45 @@ def variants(sig: str = "sig", positions: int = POSITIONS, width: int = WIDTH):
     return F.array(*out)
 
 
-def candidates(classes: DataFrame, id_col: str = "class_id") -> DataFrame:
+def candidates(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], threshold: float, hot: int = HOT, id_col: str = "class_id") -> DataFrame:
     """(a, b), a < b: distinct records whose signatures share a variant.
 
-    Copies have been folded into classes before, so a variant that many records have
-    comes from many different texts that truly resemble one another.
+    Variants are counted first, with map-side combination. Those of up to ``hot`` records
+    are joined with themselves; the records of the others are compared by ``prefix_candidates``
+    over their run sets, which ``sets_of`` (id) gives as (id, grams).
+    """
+    posted = classes.select(F.col(id_col).alias("id"), F.explode(variants()).alias("v"))
+    many = stash(posted.groupBy("v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("v"), "p1-hot")
+    crowded = not many.isEmpty()
+    few = posted.join(many, "v", "left_anti") if crowded else posted
+    found = few.select(F.col("id").alias("a"), "v").join(few.select(F.col("id").alias("b"), "v"), "v").where("a < b").select("a", "b")
+    if crowded:
+        held = stash(posted.join(many, "v", "left_semi").select("id").distinct(), "p1-crowded")
+        found = found.unionByName(prefix_candidates(stash(sets_of(held), "p1-crowded-sets"), threshold))
+    return found.distinct()
+
+
+def prefix_candidates(sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b), a < b: a superset of the pairs of ``sets`` (id, grams) with this Jaccard similarity.
+
+    Prefix filtering (after Bayardo et al. 2007 and Xiao et al. 2008): with the runs of every
+    record in one order, rare ones first, two similar records share one among the first
+    n - ceil(t n) + 1 of the longer and the first n - ceil(2t / (1 + t) n) + 1 of the shorter.
+    Runs after the first one in common bound what the pair can still share. Counts are exact
+    and combined before the shuffle; a record's runs are ranked within the record.
     """
-    posted = classes.select(F.col(id_col).alias("id"), "runs", F.explode(variants()).alias("v"))
-    left = posted.select(F.col("id").alias("a"), F.col("runs").alias("ra"), "v")
-    right = posted.select(F.col("id").alias("b"), F.col("runs").alias("rb"), "v")
-    return left.join(right, "v").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).cast("int").alias("shared"))
+    runs = sets.select("id", F.size("grams").alias("size"), F.explode("grams").alias("g"))
+    counts = runs.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("n", "g"))
+    ranked = runs.join(counts, "g").withColumn("rank", rank)
+    reach = lambda share: F.col("size") - F.ceil(F.lit(share) * F.col("size") - 1e-9) + 1
+    longer = stash(ranked.where((F.col("n") > 1) & (F.col("rank") <= reach(threshold))), "prefixes")
+    shorter = longer.where(F.col("rank") <= reach(2 * threshold / (1 + threshold)))
+    side = lambda df, k: df.select("g", *(F.col(c).alias(f"{c}_{k}") for c in ("id", "size", "rank")))
+    both = side(shorter, "x").join(side(longer, "y"), "g").where((F.col("id_x") != F.col("id_y")) & (F.struct("size_x", "id_x") < F.struct("size_y", "id_y")))
+    rest = F.least(F.col("size_x") - F.col("rank_x"), F.col("size_y") - F.col("rank_y")) + 1
+    fits = (F.col("size_x") >= F.lit(threshold) * F.col("size_y") - 1e-9) & (rest >= F.lit(threshold / (1 + threshold)) * (F.col("size_x") + F.col("size_y")) - 1e-9)
+    return both.where(fits).select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
 
 
 def _run_sets(column: str, n: int):
@@ -146,7 +183,7 @@ def folded(members: DataFrame) -> DataFrame:
     return members.select("id", F.col("text_id").alias("class_id"))
 
 
-def near_classes(df: DataFrame, key: str, column: str, threshold: float = 0.7, min_words: int = 20, n: int = 5) -> tuple[DataFrame, DataFrame]:
+def near_classes(df: DataFrame, key: str, column: str, threshold: float = 0.7, min_words: int = 20, n: int = 5, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """Copies and near-duplicates: ``members`` (id, class_id, text_id) and ``links`` (a, b, jaccard) between classes.
 
     A class holds the records with the same words; its id is the smallest key, and
@@ -158,9 +195,10 @@ def near_classes(df: DataFrame, key: str, column: str, threshold: float = 0.7, m
     classes = stash(signed.groupBy("k1", "k2").agg(F.min("id").alias("class_id"), F.first("runs").alias("runs"), F.first("sig").alias("sig")), "p1-classes")
     members = signed.select("id", "k1", "k2", "t").join(classes.select("k1", "k2", "class_id"), ["k1", "k2"]).join(text_ids(signed, ["k1", "k2"]), ["k1", "k2", "t"])
     members = members.groupBy("id", "class_id").agg(F.min("text_id").alias("text_id"))
-    found = stash(candidates(classes), "p1-candidates")
+    sets_of = lambda ids: run_sets(only(df.select(F.col(key).cast("long").alias(key), column), key, ids), key, column, n).dropDuplicates(["id"])
+    found = stash(candidates(classes, sets_of, threshold, hot), "p1-candidates")
     wanted = stash(found.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "p1-wanted")
-    sets = stash(run_sets(only(df.select(F.col(key).cast("long").alias(key), column), key, wanted), key, column, n).dropDuplicates(["id"]), "p1-sets")
+    sets = stash(sets_of(wanted), "p1-sets")
     return members, stash(verified(found, sets, threshold), "p1-links")
 
 
@@ -209,6 +247,23 @@ def near_pairs(df: DataFrame, key: str = "doc_id", column: str = "text", thresho
     return expand(folded(members), by_text(links, members, members).unionByName(within), f"{key}_a", f"{key}_b")
 
 
+def near_members(df: DataFrame, key: str = "doc_id", column: str = "text", min_words: int = 20) -> DataFrame:
+    """(key, class_id, copies): each record that ``near_pairs`` compares, the smallest key with the same stored text, and how many have it.
+
+    Two members of a class are a pair of ``near_pairs``; two members of different classes are
+    one if any pair of it stands between the classes. Classes of up to ``SPELLED`` copies are
+    listed pair by pair there anyway. Null and shorter texts have no row.
+    """
+    return classes_of(df.where(F.size(words(column)) >= min_words), key, column)
+
+
+def classes_of(df: DataFrame, key: str, column: str, *also: str) -> DataFrame:
+    """(key, *also, class_id, copies) of the non-null keys and texts; a class has one stored text and one value of each of ``also``."""
+    rows = df.where(F.col(key).isNotNull() & F.col(column).isNotNull()).select(F.col(key).cast("long").alias(key), *also, F.md5(column).alias("_h"), F.length(column).alias("_n")).distinct()
+    per = rows.groupBy(*also, "_h", "_n").agg(F.min(key).alias("class_id"), F.count(F.lit(1)).alias("copies"))
+    return rows.join(per, [*also, "_h", "_n"]).select(key, *also, "class_id", "copies")
+
+
 def near_groups(df: DataFrame, key: str = "doc_id", column: str = "text", threshold: float = 0.8, min_words: int = 5, n: int = 5) -> DataFrame:
     """(key, class_id, n_links, group_id), one row per record, linear in the records.
 

@@ -17,6 +17,11 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return near.near_pairs(load(spark, d, "documents"))
 
 
+def p1_members(spark: SparkSession, d: str) -> DataFrame:
+    """The class of copies of every document that p1_found compares; with it, p1_found gives all pairs."""
+    return near.near_members(load(spark, d, "documents"))
+
+
 def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     """Each document's class of copies, linked classes and near-duplicate group (5 words, 0.8)."""
     return near.near_groups(load(spark, d, "documents"))
@@ -42,6 +47,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return crosssplit.cross_pairs(load(spark, d, "corpus_lines"))
 
 
+def p4_members(spark: SparkSession, d: str) -> DataFrame:
+    """The class of copies of every line that p4_found compares; with it, p4_found gives all pairs."""
+    return crosssplit.cross_members(load(spark, d, "corpus_lines"))
+
+
 def p4_counts(spark: SparkSession, d: str) -> DataFrame:
     """Lines and overlapping lines per split and source."""
     return crosssplit.overlap_counts(load(spark, d, "corpus_lines"))
@@ -109,13 +119,18 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.span_pairs(load(spark, d, "documents"))
 
 
+def p10_members(spark: SparkSession, d: str) -> DataFrame:
+    """The class of copies of every document that p10_found compares; with it, p10_found gives all pairs."""
+    return near.classes_of(load(spark, d, "documents").where(F.length("text") >= 200), "doc_id", "text")
+
+
 def p10_shared(spark: SparkSession, d: str) -> DataFrame:
     """How much of each document stands in another one."""
     return spans.shared_share(load(spark, d, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    every = (p1_found, p1_groups, p2_budget, p3_found, p3_forms, p4_found, p4_counts, p5_found, p5_documents, p5_segments, p6_found, p6_by_source, p7_mix, p7_report, p8_ids, p9_found, p9_near, p10_found, p10_shared)
+    every = (p1_found, p1_members, p1_groups, p2_budget, p3_found, p3_forms, p4_found, p4_members, p4_counts, p5_found, p5_documents, p5_segments, p6_found, p6_by_source, p7_mix, p7_report, p8_ids, p9_found, p9_near, p10_found, p10_members, p10_shared)
     return {f.__name__: f for f in every}
 
 
