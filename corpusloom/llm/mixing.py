@@ -47,42 +47,55 @@ def _plan(documents: DataFrame, targets: DataFrame, catalog: DataFrame, key: str
     """(kept documents, one row per target source with its size, copies and share)."""
     caps = catalog.select(canonical_source("name").alias("src"), F.when(F.col("max_docs").isNotNull(), F.greatest(F.col("max_docs"), F.lit(0))).alias("max_docs")).groupBy("src").agg(F.min("max_docs").alias("max_docs"))
     goals = targets.select(canonical_source("name").alias("src"), F.col("target_share").alias("share"), F.col("max_repeats").cast("int").alias("repeats")).where("src is not null and share > 0")
-    goals = goals.join(caps, "src", "left")
+    goals = stash(goals.join(caps, "src", "left"), "p7-goals")  # with its real size Spark broadcasts it while it is small
     sized = documents.select(F.col(key).cast("long").alias("id"), canonical_source("source").alias("src"), F.length("text").cast("long").alias("size")).where("id is not null and size > 0")
-    sized = sized.join(F.broadcast(goals.select("src")), "src", "left_semi").withColumn("tie", F.xxhash64(F.lit(seed), "id"))  # one row per target source
+    sized = sized.join(goals.select("src"), "src", "left_semi").withColumn("tie", F.xxhash64(F.lit(seed), "id"))
     held = sized.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
-    thin = sized.join(F.broadcast(goals.join(held, "src").select("src", F.least(F.coalesce("max_docs", "n"), "n").alias("keep"), "n")), "src")
+    thin = sized.join(goals.join(held, "src").select("src", F.least(F.coalesce("max_docs", "n"), "n").alias("keep"), "n"), "src")
     kept = _boundaries(thin, "src", ["size", "tie", "id"], F.col("keep") / F.col("n"), seed + 1, "p7-laid").where("emitted > 0")
     kept = stash(kept.select("id", "src", "size", "tie"), "p7-kept")
     have = kept.groupBy("src").agg(F.count(F.lit(1)).alias("docs"), F.sum("size").alias("held"))
     plan = goals.join(have, "src", "left").select("src", "share", "repeats", F.coalesce("docs", F.lit(0)).alias("docs"), F.coalesce("held", F.lit(0)).alias("held"))
     every = Window.partitionBy()
-    # the largest total at which each source with documents reaches its share within its repeats
-    reach = F.min(F.when(F.col("held") > 0, F.col("repeats") * F.col("held") / F.col("share"))).over(every)
-    goal = F.least(F.lit(float(total)), reach) if total is not None else reach
+    # the total up to which a source alone could reach its share; the least of them is what all of them reach
+    plan = plan.withColumn("reach", F.when(F.col("held") > 0, F.col("repeats") * F.col("held") / F.col("share")))
+    goal = F.lit(float(total)) if total is not None else F.min("reach").over(every)
     plan = plan.withColumn("total", goal).withColumn("copies", F.when(F.col("held") > 0, F.least(F.col("repeats").cast("double"), F.col("share") * F.col("total") / F.col("held"))))
     return kept, stash(plan, "p7-plan")
 
 
+def _drawn(kept: DataFrame, plan: DataFrame, key: str, seed: int) -> DataFrame:
+    rows = kept.join(plan.where("copies is not null").select("src", F.col("copies").alias("each")), "src")
+    drawn = _boundaries(rows, "src", ["size", "tie", "id"], F.col("each"), seed + 2, "p7-drawn").where("emitted > 0")
+    return drawn.select(F.col("id").alias(key), F.col("src").alias("source"), "size", F.col("emitted").alias("copies"))
+
+
 def mix(documents: DataFrame, targets: DataFrame, catalog: DataFrame, key: str = "doc_id", seed: int = 1337, total: float | None = None) -> DataFrame:
     """(key, source, size, copies): the documents of the mix and how often each stands in it.
 
-    ``total``: code points wanted; by default, and at most, the largest total at which
-    every source reaches its share within ``max_repeats`` and ``max_docs``. Null and empty
-    texts, null keys and sources without a target are not used; a target source without
+    ``total``: code points wanted. By default it is the largest total at which every source
+    reaches its share within ``max_repeats`` and ``max_docs``; beyond that, sources that are
+    used up fall short and nobody gets their part (``mix_report`` says by how much). Null and
+    empty texts, null keys and sources without a target are not used; a target source without
     documents has no rows and does not limit the others. ``max_docs`` null: no limit;
     0 or less: no documents. Empty tables: no rows.
     """
-    kept, plan = _plan(documents, targets, catalog, key, seed, total)
-    rows = kept.join(F.broadcast(plan.where("copies is not null").select("src", "copies")), "src")
-    drawn = _boundaries(rows.withColumnRenamed("copies", "each"), "src", ["size", "tie", "id"], F.col("each"), seed + 2, "p7-drawn").where("emitted > 0")
-    return drawn.select(F.col("id").alias(key), F.col("src").alias("source"), "size", F.col("emitted").alias("copies"))
+    return _drawn(*_plan(documents, targets, catalog, key, seed, total), key, seed)
 
 
 def mix_report(documents: DataFrame, targets: DataFrame, catalog: DataFrame, key: str = "doc_id", seed: int = 1337, total: float | None = None) -> DataFrame:
-    """(source, target_share, docs, copies, size, actual_share, max_copies) of the mix, one row per target."""
-    chosen = mix(documents, targets, catalog, key, seed, total)
+    """One row per target: (source, target_share, docs, copies, size, actual_share, max_copies, wanted, shortfall, reach, limits).
+
+    ``wanted``: the code points of the source's share of the total; ``shortfall``: what is
+    missing of them because all its documents stand there ``max_repeats`` times. ``reach``: the
+    total up to which this source could hold its share (null without documents), and
+    ``limits``: whether no other source ends earlier.
+    """
+    kept, plan = _plan(documents, targets, catalog, key, seed, total)
+    chosen = _drawn(kept, plan, key, seed)
     by = chosen.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("copies").alias("copies"), F.sum(F.col("size") * F.col("copies")).alias("size"), F.max("copies").alias("max_copies"))
-    goals = targets.select(canonical_source("name").alias("source"), "target_share").where("source is not null and target_share > 0")
+    least = F.min("reach").over(Window.partitionBy())
+    goals = plan.select(F.col("src").alias("source"), F.col("share").alias("target_share"), (F.col("share") * F.col("total")).alias("wanted"), F.when(F.col("held") > 0, F.col("copies") * F.col("held")).otherwise(0.0).alias("_due"), "reach", (F.col("reach") <= least).alias("limits"))
     rows = goals.join(by, "source", "left").fillna(0, ["docs", "copies", "size", "max_copies"])
-    return rows.withColumn("actual_share", F.coalesce(F.try_divide(F.col("size"), F.sum("size").over(Window.partitionBy())), F.lit(0.0)))
+    rows = rows.withColumn("actual_share", F.coalesce(F.try_divide("size", F.sum("size").over(Window.partitionBy())), F.lit(0.0)))  # one row per target
+    return rows.withColumn("shortfall", F.greatest(F.lit(0.0), F.round(F.col("wanted") - F.col("_due"), 3))).select("source", "target_share", "docs", "copies", "size", "actual_share", "max_copies", "wanted", "shortfall", "reach", F.coalesce("limits", F.lit(False)).alias("limits"))

@@ -99,6 +99,13 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_report(load(spark, d, "documents"), load(spark, d, "mix_targets"), load(spark, d, "source_catalog"))
 
 
+def p7_shortfall(spark: SparkSession, d: str) -> DataFrame:
+    """The report of a mix of as many code points as the whole corpus has: used-up sources fall short."""
+    documents = load(spark, d, "documents")
+    total = documents.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    return mixing.mix_report(documents, load(spark, d, "mix_targets"), load(spark, d, "source_catalog"), total=total)
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document by the 50k byte-level vocabulary."""
     return encode.encode(load(spark, d, "documents"))
@@ -130,7 +137,7 @@ def p10_shared(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    every = (p1_found, p1_members, p1_groups, p2_budget, p3_found, p3_forms, p4_found, p4_members, p4_counts, p5_found, p5_documents, p5_segments, p6_found, p6_by_source, p7_mix, p7_report, p8_ids, p9_found, p9_near, p10_found, p10_members, p10_shared)
+    every = (p1_found, p1_members, p1_groups, p2_budget, p3_found, p3_forms, p4_found, p4_members, p4_counts, p5_found, p5_documents, p5_segments, p6_found, p6_by_source, p7_mix, p7_report, p7_shortfall, p8_ids, p9_found, p9_near, p10_found, p10_members, p10_shared)
     return {f.__name__: f for f in every}
 
 

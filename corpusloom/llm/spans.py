@@ -14,7 +14,9 @@ paired on the difference of their positions, and the pairs are compared code poi
 code point. Copies of a text fold into one class before anything is posted. A symbol that
 very many records post (site footers just short of the wanted length) pairs nothing by
 itself: its records post every window of ``min_chars`` code points around it, which only
-truly shared spans have in common, so false pairs stay linear in the records.
+truly shared spans have in common, so false pairs stay linear in the records. Equal windows
+are equal stretches: they pair their records without reading the texts again, and how much
+of a record is shared needs no pairs at all.
 
 A common span of ``min_chars`` is missed only if none of the symbols that begin in its
 middle ``min_chars - CONTEXT`` code points is consistent. Test and README give the recall
@@ -128,9 +130,12 @@ def _poster(key: str, column: str, min_chars: int):
 
 
 def _several(lists: DataFrame, name: str) -> DataFrame:
-    """The rows (id, p, at) whose ``p`` another row has too, with the number of rows ``n``."""
-    counted = lists.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("p")))
-    return stash(counted.where("n > 1"), name)
+    """The rows (id, p, at, ...) whose ``p`` another row has too, with the number of rows ``n``.
+
+    Counted with map-side combination and joined back, so that no task holds a symbol's list.
+    """
+    counts = lists.groupBy("p").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return stash(lists.join(counts, "p"), name)
 
 
 def _windows(min_chars: int):
@@ -149,7 +154,15 @@ def _windows(min_chars: int):
                 ok = (begin >= text.starts[row]) & (begin + min_chars <= text.starts[row + 1])
                 begin, first = np.unique(begin[ok], return_index=True)
                 row = row[ok][first]
-                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(row)), K.int64s(K.span_hash(prefix, begin, begin + min_chars)), pa.array((begin - text.starts[row]).astype(np.int32))], ["id", "p", "at"])
+                names = K.span_hash(prefix, begin, begin + min_chars)
+                before = np.zeros(len(begin), bool)  # whether the window one code point earlier is there too
+                before[1:] = (begin[1:] == begin[:-1] + 1) & (row[1:] == row[:-1])
+                earlier = pa.array(np.concatenate([[0], names[:-1].view(np.int64)]) if len(names) else np.zeros(0, np.int64), mask=~before)
+                # a second hash, of another base, so that equal windows are equal texts
+                second = K.span_hash(prefix, begin, begin + min_chars // 2) ^ K.span_hash(prefix, begin + 7, begin + min_chars) * K.constants(1, 57)[0]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(pa.array(row)), K.int64s(names), pa.array((begin - text.starts[row]).astype(np.int32)), K.int64s(second), earlier], ["id", "p", "at", "p2", "earlier"]
+                )
 
     return run
 
@@ -181,11 +194,15 @@ def _verify(min_chars: int):
     return run
 
 
-def shared_spans(df: DataFrame, key: str = "doc_id", column: str = "text", min_chars: int = 200) -> tuple[DataFrame, DataFrame]:
-    """``members`` (id, class_id, chars) and ``spans`` (a, b, begin_a, begin_b, chars) between classes, a < b.
+def shared_spans(df: DataFrame, key: str = "doc_id", column: str = "text", min_chars: int = 200) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``members`` (id, class_id, chars), ``spans`` (a, b, begin_a, begin_b, chars) and ``windows`` (id, at, p, p2, earlier, n).
 
-    A class holds the records with the same text; each span is maximal, verified and at
-    least ``min_chars`` code points long. Null and shorter texts take no part.
+    A class holds the records with the same text, and is named by its smallest key. Spans
+    are maximal, verified stretches of at least ``min_chars`` code points that two classes
+    share, a < b, as far as a symbol of at most ``HOT`` classes reveals them; ``windows`` are the
+    stretches of exactly ``min_chars`` around all other shared symbols that several classes
+    have, so they stay linear in the records. Together they cover all that is shared. Null
+    and shorter texts take no part.
     """
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(column).alias("text")).where("id is not null and text is not null")
     posted = stash(rows.mapInArrow(_poster("id", "text", min_chars), "id long, k1 long, k2 long, chars int, posted array<long>, at array<int>"), "p10-posted")
@@ -195,8 +212,9 @@ def shared_spans(df: DataFrame, key: str = "doc_id", column: str = "text", min_c
     lists = posted.join(later, "id", "left_anti").select("id", F.explode(F.arrays_zip("posted", "at")).alias("x")).select("id", F.col("x.posted").alias("p"), F.col("x.at").alias("at"))
     shared = _several(lists, "p10-shared")
     hot = shared.where(F.col("n") > HOT).groupBy("id").agg(F.collect_set("at").alias("ats"))
-    windows = only(rows, "id", stash(hot.select("id"), "p10-hot")).join(hot, "id").dropDuplicates(["id"]).mapInArrow(_windows(min_chars), "id long, p long, at int")
-    shared = shared.where(F.col("n") <= HOT).select("id", "p", "at").unionByName(_several(windows, "p10-windows").select("id", "p", "at"))
+    around = only(rows, "id", stash(hot.select("id"), "p10-hot")).join(hot, "id").dropDuplicates(["id"]).mapInArrow(_windows(min_chars), "id long, p long, at int, p2 long, earlier long")
+    windows = _several(around, "p10-windows")
+    shared = shared.where(F.col("n") <= HOT).select("id", "p", "at")
     left = shared.select(F.col("id").alias("a"), F.col("at").alias("i"), "p")
     right = shared.select(F.col("id").alias("b"), F.col("at").alias("j"), "p")
     shifts = left.join(right, "p").where("a < b").groupBy("a", "b").agg(F.collect_set(F.col("i") - F.col("j")).alias("shifts"))
@@ -205,27 +223,38 @@ def shared_spans(df: DataFrame, key: str = "doc_id", column: str = "text", min_c
     texts = stash(only(rows, "id", wanted).dropDuplicates(["id"]), "p10-texts")
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
     spans = both.mapInArrow(_verify(min_chars), "a long, b long, begin_a int, begin_b int, chars int")
-    return members, stash(spans.distinct(), "p10-spans")
+    return members, stash(spans.distinct(), "p10-spans"), windows
 
 
 def span_pairs(df: DataFrame, key: str = "doc_id", column: str = "text", min_chars: int = 200) -> DataFrame:
-    """(key_a, key_b): records with a common stretch of ``min_chars`` code points, copies included."""
+    """(key_a, key_b): records with a common stretch of ``min_chars`` code points, copies included.
+
+    Equal windows pair their records without the texts (two 64-bit hashes of different
+    stretches must agree), and each run of common windows does so once.
+    """
     from .near import expand
 
-    members, spans = shared_spans(df, key, column, min_chars)
-    return expand(members.select("id", "class_id"), spans.select("a", "b").distinct(), f"{key}_a", f"{key}_b")
+    members, spans, windows = shared_spans(df, key, column, min_chars)
+    side = lambda k: windows.select("p", "p2", F.col("id").alias(k), F.col("earlier").alias(f"e{k}"))
+    fresh = F.col("ea").isNull() | F.col("eb").isNull() | (F.col("ea") != F.col("eb"))
+    same = side("a").join(side("b"), ["p", "p2"]).where((F.col("a") < F.col("b")) & fresh).select("a", "b")
+    return expand(members.select("id", "class_id"), spans.select("a", "b").unionByName(same).distinct(), f"{key}_a", f"{key}_b")
 
 
 def shared_share(df: DataFrame, key: str = "doc_id", column: str = "text", min_chars: int = 200) -> DataFrame:
     """(key, chars, shared_chars, share): how much of each record stands in another one.
 
     Every record has a row; null and short texts share nothing. A text with a copy is
-    shared wholly. Spans that overlap count once.
+    shared wholly. Spans that overlap count once. No pairs are made of what many records
+    share: a window that several classes have is shared, whoever they are.
     """
-    members, spans = shared_spans(df, key, column, min_chars)
+    members, spans, windows = shared_spans(df, key, column, min_chars)
     members = stash(members, "p10-members")
-    ends = spans.select(F.col("a").alias("class_id"), F.col("begin_a").alias("lo"), (F.col("begin_a") + F.col("chars")).alias("hi"))
-    ends = ends.unionByName(spans.select(F.col("b").alias("class_id"), F.col("begin_b").alias("lo"), (F.col("begin_b") + F.col("chars")).alias("hi")))
+    # a window that only one text repeats is not shared with another one
+    others = windows.groupBy("p").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("p")
+    reach = lambda c, lo, n: F.struct(F.col(c).alias("class_id"), F.col(lo).alias("lo"), (F.col(lo) + n).alias("hi"))
+    ends = spans.select(F.explode(F.array(reach("a", "begin_a", F.col("chars")), reach("b", "begin_b", F.col("chars")))).alias("x")).select("x.*")
+    ends = ends.unionByName(windows.join(others, "p", "left_semi").select(reach("id", "at", F.lit(min_chars)).alias("x")).select("x.*"))
     ends = ends.groupBy("class_id", "lo").agg(F.max("hi").alias("hi"))  # many partners, few distinct begins
     before = Window.partitionBy("class_id").orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
     covered = ends.withColumn("reach", F.coalesce(F.max("hi").over(before), F.lit(0))).groupBy("class_id").agg(F.sum(F.greatest(F.lit(0), F.col("hi") - F.greatest("lo", "reach"))).alias("covered"))
