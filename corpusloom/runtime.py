@@ -72,6 +72,13 @@ def _clear() -> None:
 atexit.register(_clear)
 
 
+def temporary_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that is removed when the application ends."""
+    path = stash_path(spark, name)
+    _stashed.append((spark, path))
+    return path
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -79,8 +86,7 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     size of an intermediate, so that it broadcasts only what is below its threshold.
     """
     spark = df.sparkSession
-    path = stash_path(spark, name)
-    _stashed.append((spark, path))
+    path = temporary_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
