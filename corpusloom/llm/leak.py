@@ -31,6 +31,8 @@ from . import textkernel as K
 
 GAP, BLOCK_WORDS, PART_BITS = 64, 2_000_000, 4
 PARTS = 1 << PART_BITS
+#: Bytes of a row group: some ten segments, as readers decode a group at a time.
+ROW_GROUP = 32 << 20
 _LISTS = ("terms", "counts", "positions")
 #: docs, starts: the segment's documents and their first positions; per part the terms (64-bit hashes), their counts and positions.
 SEGMENT = "docs array<long>, starts array<int>, " + ", ".join(f"terms_{p} array<long>, counts_{p} array<int>, positions_{p} array<int>" for p in range(PARTS))
@@ -157,7 +159,7 @@ class LeakIndex:
     def add(self, documents: DataFrame, key: str = "doc_id", column: str = "text") -> LeakIndex:
         """Index more documents. Null keys and texts are left out; a key added twice is two documents."""
         docs = documents.select(F.col(key).cast("long").alias(key), column).where(f"{key} is not null and {column} is not null")
-        docs.mapInArrow(_indexer(key, column), SEGMENT).write.mode("append").option("compression", "zstd").parquet(self.path)
+        docs.mapInArrow(_indexer(key, column), SEGMENT).write.mode("append").option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(self.path)
         return self
 
     def segments(self) -> DataFrame:
