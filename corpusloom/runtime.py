@@ -98,6 +98,45 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _file(spark: SparkSession, path: str):  # noqa: ANN202
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder lies at ``path``, on whatever file system."""
+    fs, target = _file(spark, path)
+    return fs.exists(target)
+
+
+def file_size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder."""
+    fs, target = _file(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file as it is, or None where there is none."""
+    fs, target = _file(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file, overwriting ``path``; folders are made."""
+    fs, target = _file(spark, path)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 _shipped: set[str] = set()
 
 
