@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType
 # The 29 code points that Python's str.strip and \s count as white space,
 # as a character class both Java's and RE2's patterns accept.
 SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 TELUGU = (0x0C00, 0x0C7F)
 
@@ -22,13 +23,21 @@ def _col(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Without Unicode white space at both ends. Null stays null."""
-    return F.regexp_replace(_col(c), rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(_col(c), F.lit(_SPACES))
+
+
+# SPACE without the line feed.
+INLINE = r"\t\x0b-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
 @F.pandas_udf(StringType())
 def _nfc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
-        yield texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+        yield pd.Series([t if t is None else unicodedata.normalize("NFC", t) for t in texts], index=texts.index, dtype=object)
+
+
+# marked so that the optimizer, which moves filters below projections, does not evaluate it twice
+_nfc = _nfc.asNondeterministic()
 
 
 def nfc(c: Column | str) -> Column:
@@ -42,8 +51,8 @@ def clean_text(c: Column | str) -> Column:
     line end, single blanks, stripped lines, at most one empty line in a row. Null stays null."""
     t = F.regexp_replace(nfc(c), CONTROL, "")
     t = F.replace(F.replace(t, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    t = F.regexp_replace(t, r"[ \t]+", " ")
-    t = F.array_join(F.transform(F.split(t, "\n", -1), strip), "\n")
+    t = F.regexp_replace(t, r" [ \t]++|\t[ \t]*+", " ")  # a single blank stays as it is
+    t = F.regexp_replace(t, rf"[{INLINE}]++\n[{INLINE}]*+|\n[{INLINE}]++", "\n")
     return strip(F.regexp_replace(t, r"\n{3,}", "\n\n"))
 
 

@@ -15,8 +15,10 @@ def exact_dedup_clean(df: DataFrame, min_chars: int = 64, key: str = "ord", text
 
     The cleaned text is what is kept. Null texts are skipped.
     """
-    cleaned = df.where(F.col(text).isNotNull()).select(key, T.clean_text(text).alias(text)).where(F.length(text) >= min_chars)
-    return cleaned.groupBy(text).agg(F.min(key).alias(key)).select(key, text)
+    cleaned = df.where(F.col(text).isNotNull()).select(key, T.clean_text(text).alias(text))
+    # the length is an aggregate, so that the filter isn't moved below the cleaning, which would clean twice
+    per = cleaned.groupBy(text).agg(F.min(key).alias(key), F.max(F.length(text)).alias("_length"))
+    return per.where(F.col("_length") >= min_chars).select(key, text)
 
 
 def clean_stats(df: DataFrame, min_chars: int = 64, script: tuple[int, int] = T.TELUGU, text: str = "text") -> DataFrame:
@@ -90,16 +92,21 @@ def near_dedup(df: DataFrame, threshold: float = M.THRESHOLD, num_perm: int = M.
     return kept, stats.withColumn("removed_fraction", F.when(F.col("documents_in") == 0, 0.0).otherwise(1 - F.col("documents_kept") / F.greatest(F.col("documents_in"), F.lit(1))))
 
 
-def threshold_sweep(df: DataFrame, thresholds: tuple[float, ...] = (0.5, 0.6, 0.7, 0.8, 0.9, 0.95), kind: str = "blake2b", key: str = "ord", text: str = "text") -> DataFrame:
-    """(threshold, near_duplicates): sketches and candidates are made once for all thresholds."""
+def threshold_sweep(df: DataFrame, thresholds: tuple[float, ...] = (0.5, 0.6, 0.7, 0.8, 0.9, 0.95), kind: str = "blake2b", num_bands: int = M.NUM_BANDS, key: str = "ord", text: str = "text") -> DataFrame:
+    """(threshold, near_duplicates): sketches and candidates are made once, and one run of components serves all thresholds.
+
+    As in near-duplicate removal, candidates are what shares a band with the bucket's first.
+    With the default 16 bands of 8 a pair at similarity s does so with probability
+    1 - (1 - s**8)**16: 0.95 at 0.8, but 0.24 at 0.6 and 0.06 at 0.5. ``num_bands`` 32 or 64
+    raise these to 0.99 and 0.87 (at 0.6 and 0.5 with 32), at more candidates.
+    """
     _, signed = unique_signed(df, kind=kind, key=key, text=text)
-    edges = stash(star_edges(signed, min(thresholds), key=key), "sweep")
-    out = None
-    for t in thresholds:
-        labels = connected_components(edges.where(F.col("sim") >= t))
-        row = labels.agg(F.lit(t).alias("threshold"), F.count(F.when(F.col("node") != F.col("component"), 1)).alias("near_duplicates"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    held = F.filter(F.array(*(F.struct(F.lit(i).alias("t"), F.lit(float(t)).alias("at")) for i, t in enumerate(thresholds))), lambda x: F.col("sim") >= x["at"])
+    edges = star_edges(signed, min(thresholds), num_bands, key=key).select("src", "dst", F.explode(held).alias("x")).select("src", "dst", "x.t")
+    labels = connected_components(edges, by="t")
+    counts = labels.groupBy("t").agg(F.count(F.when(F.col("node") != F.col("component"), 1)).alias("near_duplicates"))
+    rows = df.sparkSession.createDataFrame([(i, float(t)) for i, t in enumerate(thresholds)], "t int, threshold double")
+    return rows.join(counts, "t", "left").select("threshold", F.coalesce("near_duplicates", F.lit(0)).cast("long").alias("near_duplicates"))
 
 
 def true_jaccard(df: DataFrame, pairs: DataFrame, n: int = M.SHINGLE, key: str = "ord", text: str = "text") -> DataFrame:

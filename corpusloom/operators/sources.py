@@ -6,6 +6,8 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..runtime import stash
+
 TOKENS_PER_CHAR = 0.208
 
 
@@ -36,27 +38,26 @@ def capped(df: DataFrame, catalogue: DataFrame, key: str = "ord", text: str = "t
     spec = catalogue.select(F.col("name").alias(source), "max_docs", "min_chars").where(F.col(source).isNotNull())
     if only:
         spec = spec.where(F.col(source).isin(only))
-    rows = df.join(F.broadcast(spec), source).where(F.coalesce(F.length(text), F.lit(0)) >= F.coalesce("min_chars", F.lit(0)))
-    kept = rows.withColumn("_cap", F.when(F.col("max_docs").isNotNull(), F.greatest(F.col("max_docs"), F.lit(1))))
-    return _first_n(kept, source, key, "_cap").drop("_cap", "max_docs", "min_chars")
+    rows = df.join(spec, source).where(F.coalesce(F.length(text), F.lit(0)) >= F.coalesce("min_chars", F.lit(0)))
+    kept = rows.withColumn("_cap", F.when(F.col("max_docs").isNotNull(), F.greatest(F.col("max_docs"), F.lit(1)))).drop("max_docs", "min_chars")
+    return _first_n(kept, source, key, "_cap").drop("_cap")
 
 
 def _first_n(df: DataFrame, group: str, key: str, cap: str) -> DataFrame:
     """The first ``cap`` rows of each group by key (null cap: all).
 
-    Catalyst turns the rank filter into a per-task group limit before the shuffle
-    where the cap is a literal; here the cap is a column, so rows are ranked inside
-    ranges of keys first and ranges are counted ahead.
+    Keys alone are laid out in ranges and ranked inside them, ranges are counted ahead, and
+    the last key that each group takes (one row per group) filters the rows.
     """
-    from ..runtime import stash
-
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = stash(df.repartitionByRange(parts, group, key).withColumn("_part", F.spark_partition_id()), "first-n")
+    keys = df.where(F.col(cap).isNotNull()).select(group, key, cap)
+    laid = stash(keys.repartitionByRange(parts, group, key).withColumn("_part", F.spark_partition_id()), "first-n")
     base = laid.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("_c"))
     earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     base = base.select(group, "_part", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_base"))
     ranked = laid.withColumn("_rank", F.row_number().over(Window.partitionBy(group, "_part").orderBy(key))).join(base, [group, "_part"])
-    return ranked.where(F.col(cap).isNull() | (F.col("_rank") + F.col("_base") <= F.col(cap))).drop("_part", "_rank", "_base")
+    last = stash(ranked.where(F.col("_rank") + F.col("_base") == F.col(cap)).select(group, F.col(key).alias("_last")), "last-n")
+    return df.join(last, group, "left").where(F.col("_last").isNull() | (F.col(key) <= F.col("_last"))).drop("_last")
 
 
 def first_per_group(df: DataFrame, group: str, key: str, n: int, after: bool = False) -> DataFrame:

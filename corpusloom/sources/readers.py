@@ -101,7 +101,9 @@ def collected(df: DataFrame, key: str = "ord", text: str = "text", min_chars: in
     rows = df.select(key, strip(text).alias("text")).where(F.length("text") >= min_chars)
     if cap is None:
         return rows
-    return with_ord(rows, [key], "_pos").where(F.col("_pos") < max(1, cap)).drop("_pos")
+    # only keys are laid out and counted; the texts are filtered by the last key that is taken
+    last = with_ord(rows.select(key), [key], "_pos").where(F.col("_pos") == max(1, cap) - 1).first()
+    return rows if last is None else rows.where(F.col(key) <= F.lit(last[0]))
 
 
 def wiki_extracts(payloads: DataFrame, payload: str = "payload", min_chars: int = 500) -> DataFrame:
