@@ -32,6 +32,11 @@ def p2_budget(spark: SparkSession, d: str) -> DataFrame:
     return budget.token_budget(load(spark, d, "documents"), load(spark, d, "source_catalog"))
 
 
+def p2_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The documents and characters of p2_budget, which SQL can state."""
+    return p2_budget(spark, d).drop("tokens", "tokens_per_char")
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of local lines stored differently that look the same."""
     return visual.same_looking(load(spark, d, "local_lines"), load(spark, d, "lookalike_chars"))
@@ -137,7 +142,7 @@ def p10_shared(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    every = (p1_found, p1_members, p1_groups, p2_budget, p3_found, p3_forms, p4_found, p4_members, p4_counts, p5_found, p5_documents, p5_segments, p6_found, p6_by_source, p7_mix, p7_report, p7_shortfall, p8_ids, p9_found, p9_near, p10_found, p10_members, p10_shared)
+    every = (p1_found, p1_members, p1_groups, p2_budget, p2_counts, p3_found, p3_forms, p4_found, p4_members, p4_counts, p5_found, p5_documents, p5_segments, p6_found, p6_by_source, p7_mix, p7_report, p7_shortfall, p8_ids, p9_found, p9_near, p10_found, p10_members, p10_shared)
     return {f.__name__: f for f in every}
 
 
@@ -156,17 +161,66 @@ common AS (SELECT least(a.id, b.id) AS a, greatest(a.id, b.id) AS b, count(*) AS
 SELECT a AS {key}_a, b AS {key}_b FROM common JOIN sizes x ON x.id = a JOIN sizes y ON y.id = b WHERE c >= {threshold} * (x.n + y.n - c) - 1e-9"""
 
 
+def _class_sql(table: str, key: str, where: str, by: str = "", shown: str = "") -> str:
+    """Members of the classes of equal stored text."""
+    over = f"OVER (PARTITION BY {by}text)"
+    return f"SELECT {key}{shown}, min({key}) {over} AS class_id, count(*) {over} AS copies FROM {table} WHERE text IS NOT NULL AND {where}"
+
+
+def _groups_sql(words: str) -> str:
+    pairs = _jaccard_sql("documents", "doc_id", words, 5, 5, 0.8, where="a.id < b.id")
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, array_to_string({words}, ' ') AS s FROM documents WHERE len({words}) >= 5),
+c AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY s) AS class_id FROM w),
+p AS (SELECT DISTINCT x.class_id AS a, y.class_id AS b FROM ({pairs}) q JOIN c x ON x.doc_id = q.doc_id_a JOIN c y ON y.doc_id = q.doc_id_b WHERE x.class_id <> y.class_id),
+e AS (SELECT a, b FROM p UNION SELECT b, a FROM p),
+r AS (SELECT a AS n, a AS m FROM e UNION SELECT r.n, e.b FROM r JOIN e ON e.a = r.m),
+g AS (SELECT n, min(m) AS group_id FROM r GROUP BY n), l AS (SELECT a, count(*) AS n_links FROM e GROUP BY a)
+SELECT d.doc_id, coalesce(c.class_id, d.doc_id) AS class_id, coalesce(l.n_links, 0) AS n_links, coalesce(g.group_id, c.class_id, d.doc_id) AS group_id
+FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN l ON l.a = c.class_id LEFT JOIN g ON g.n = c.class_id"""
+
+
+def _counts_sql() -> str:
+    """Documents and characters by source, language and domain, and the totals of each."""
+    source = "regexp_replace(lower(regexp_replace(source, '^\\s+|\\s+$', '', 'g')), '[\\s\\-]+', '_', 'g')"
+    lang = "nullif(nullif(lower(trim(lang, ' ')), ''), 'und')"
+    levels = [("slice", ("source", "lang", "domain")), ("source", ("source",)), ("lang", ("lang",)), ("domain", ("domain",)), ("all", ())]
+    parts = []
+    for level, by in levels:
+        shown = ", ".join(c if c in by else f"NULL AS {c}" for c in ("source", "lang", "domain"))
+        known = "coalesce(source IN (SELECT name FROM source_catalog WHERE name IS NOT NULL), false)" if "source" in by else "NULL"
+        parts.append(f"SELECT '{level}' AS level, {shown}, {known} AS catalogued, count(*) AS docs, coalesce(sum(length(text)), 0)::BIGINT AS chars FROM d" + (f" GROUP BY {', '.join(by)}" if by else ""))
+    return f"WITH d AS (SELECT {source} AS source, {lang} AS lang, domain, text FROM documents) " + " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     plain = r"regexp_extract_all(lower(text), '[\p{L}\p{M}\p{Nd}]+')"
+    stored = f"regexp_extract_all(text, '[^{_BLANK}]+')"
     eight = " || ' ' || ".join(f"w[i + {k}]" for k in range(8))
     runs = lambda table, key: f"SELECT DISTINCT {key}, {eight} AS g FROM (SELECT *, unnest(range(1, len(w) - 6)) AS i FROM (SELECT {key}, {plain} AS w FROM {table} WHERE text IS NOT NULL) WHERE len(w) >= 8)"
+    windows = "WITH windows AS (SELECT doc_id, i, substr(text, i, 200) AS s FROM (SELECT doc_id, text, unnest(range(1, length(text) - 198)) AS i FROM documents WHERE length(text) >= 200)), several AS (SELECT s FROM windows GROUP BY s HAVING count(DISTINCT doc_id) > 1)"
+    cross = _jaccard_sql("corpus_lines", "line_id", plain, 8, 3, 0.6, ", split = 'train' AS train", "a.train AND NOT b.train", "split IN ('train', 'validation', 'test')")
     return {
-        "p1_found": _jaccard_sql("documents", "doc_id", f"regexp_extract_all(text, '[^{_BLANK}]+')", 20, 5, 0.7, where="a.id < b.id"),
-        "p4_found": _jaccard_sql("corpus_lines", "line_id", plain, 8, 3, 0.6, ", split = 'train' AS train", "a.train AND NOT b.train", "split IN ('train', 'validation', 'test')"),
+        "p1_found": _jaccard_sql("documents", "doc_id", stored, 20, 5, 0.7, where="a.id < b.id"),
+        "p1_members": _class_sql("documents", "doc_id", f"len({stored}) >= 20"),
+        "p1_groups": _groups_sql(stored),
+        "p2_counts": _counts_sql(),
+        "p4_found": cross,
+        "p4_members": _class_sql("corpus_lines", "line_id", f"split IN ('train', 'validation', 'test') AND len({plain}) >= 8", "split = 'train', ", ", split <> 'train' AS held"),
+        "p4_counts": f"SELECT split, source, count(*) AS lines, count(hit) AS overlapping FROM corpus_lines LEFT JOIN (SELECT DISTINCT unnest([line_id_a, line_id_b]) AS line_id, 1 AS hit FROM ({cross})) USING (line_id) WHERE split IN ('train', 'validation', 'test') GROUP BY split, source",
         "p9_found": f"SELECT DISTINCT doc_id, item_id FROM ({runs('documents', 'doc_id')}) JOIN ({runs('benchmark', 'item_id')}) USING (g)",
-        "p10_found": """
-WITH windows AS (SELECT DISTINCT doc_id, substr(text, i, 200) AS s FROM (SELECT doc_id, text, unnest(range(1, length(text) - 198)) AS i FROM documents WHERE length(text) >= 200)),
-several AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
-held AS (SELECT doc_id, s FROM windows SEMI JOIN several USING (s))
-SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM held a JOIN held b ON a.s = b.s AND a.doc_id < b.doc_id""",
+        "p9_near": f"""
+WITH dw AS (SELECT doc_id, unnest(range(len(w))) AS pos, unnest(w) AS word FROM (SELECT doc_id, {plain} AS w FROM documents WHERE text IS NOT NULL)),
+ph AS (SELECT item_id, i AS phrase, unnest(range(8)) AS k, unnest(w[i:i + 7]) AS word FROM (SELECT *, unnest(range(1, len(w) - 6)) AS i FROM (SELECT item_id, {plain} AS w FROM benchmark WHERE text IS NOT NULL) WHERE len(w) >= 8)),
+n AS (SELECT word, count(*) AS n FROM dw GROUP BY word),
+anchor AS (SELECT * FROM (SELECT item_id, phrase, k, word, row_number() OVER (PARTITION BY item_id, phrase ORDER BY coalesce(n, 0), k) AS r FROM ph LEFT JOIN n USING (word)) WHERE r = 1),
+st AS (SELECT item_id, phrase, doc_id, pos - k AS begin FROM anchor JOIN dw USING (word)),
+ok AS (SELECT st.item_id, st.phrase, st.doc_id, begin FROM st JOIN ph ON ph.item_id = st.item_id AND ph.phrase = st.phrase JOIN dw ON dw.doc_id = st.doc_id AND dw.word = ph.word
+WHERE dw.pos BETWEEN begin + ph.k - 2 AND begin + ph.k + 2 GROUP BY ALL HAVING count(DISTINCT ph.k) = 8)
+SELECT doc_id, item_id, count(*) AS hits FROM ok GROUP BY doc_id, item_id""",
+        "p10_found": f"{windows}, held AS (SELECT DISTINCT doc_id, s FROM windows SEMI JOIN several USING (s)) SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM held a JOIN held b ON a.s = b.s AND a.doc_id < b.doc_id",
+        "p10_members": _class_sql("documents", "doc_id", "length(text) >= 200"),
+        "p10_shared": f"""{windows}, place AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS after FROM windows SEMI JOIN several USING (s)),
+covered AS (SELECT doc_id, sum(least(200, coalesce(after - i, 200)))::BIGINT AS n FROM place GROUP BY doc_id)
+SELECT doc_id, coalesce(length(text), 0)::BIGINT AS chars, coalesce(n, 0)::BIGINT AS shared_chars, CASE WHEN length(text) > 0 THEN coalesce(n, 0) / length(text)::DOUBLE ELSE 0.0::DOUBLE END AS share FROM documents LEFT JOIN covered USING (doc_id)""",
     }
