@@ -24,6 +24,17 @@ class SourceSpec:
     text_field: str = "text"
 
 
+# The built-in sources, by the tokens they contribute, and the token target.
+SOURCES = [
+    SourceSpec("fineweb2", "HuggingFaceFW/fineweb-2", "tel_Telu", "train", 2_000_000),
+    SourceSpec("c4", "allenai/c4", "te", "train", 700_000),
+    SourceSpec("sangraha", "ai4bharat/sangraha", "verified", "tel", 1_100_000),
+    SourceSpec("indiccorp", "ai4bharat/IndicCorpV2", "indiccorp_v2", "tel_Telu", 14_000_000, min_chars=60),
+    SourceSpec("wikipedia", "wikimedia/wikipedia", "20231101.te", "train", 100_000),
+]
+TOKEN_TARGET = 2_770_000_000
+
+
 def catalogue_frame(spark: SparkSession, specs: list[SourceSpec]) -> DataFrame:
     return spark.createDataFrame([asdict(s) for s in specs], "name string, dataset string, config string, split string, max_docs long, min_chars long, text_field string")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 from typing import Protocol
 
 import numpy as np
@@ -13,6 +14,8 @@ from .prefix import running_total
 
 
 class Tokenizer(Protocol):
+    """``encode`` of one text; a tokenizer may also offer ``encode_all`` of a column: flat ids and row boundaries."""
+
     def encode(self, text: str) -> list[int]: ...
 
 
@@ -24,21 +27,84 @@ class ByteTokenizer:
     def encode(self, text: str) -> list[int]:
         return list(text.encode("utf-8", "surrogatepass"))
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The column's own buffers are the ids."""
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        data = texts.buffers()[2]
+        raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None and len(texts) else np.zeros(0, np.uint8)
+        return raw, offsets - offsets[0]
+
+
+class VocabTokenizer:
+    """A tokenizer file (JSON) of the public ``tokenizers`` package, without special tokens in the text.
+
+    Made once per task from ``path``, or from the file's content, which a driver can read
+    and hand to executors that lack the file.
+    """
+
+    def __init__(self, path: str | None = None, content: str | None = None):
+        try:
+            import tokenizers
+        except ImportError as e:  # an optional package
+            raise RuntimeError("vocabulary files need the package 'tokenizers'") from e
+        self.model = tokenizers.Tokenizer.from_str(content) if content is not None else tokenizers.Tokenizer.from_file(path)
+        self.model.encode_special_tokens = True
+
+    @property
+    def size(self) -> int:
+        return self.model.get_vocab_size()
+
+    def id_of(self, token: str) -> int | None:
+        return self.model.token_to_id(token)
+
+    def encode(self, text: str) -> list[int]:
+        return self.model.encode(text, add_special_tokens=False).ids
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.model.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+        bounds = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum([len(i) for i in ids], out=bounds[1:])
+        return np.fromiter((x for i in ids for x in i), np.int64, bounds[-1]), bounds
+
+
+def vocabulary(path: str) -> Callable[[], VocabTokenizer]:
+    """What makes the tokenizer of a vocabulary file in each task; the file is read here, on the driver."""
+    with open(path, encoding="utf-8") as f:
+        content = f.read()
+    return partial(VocabTokenizer, None, content)
+
+
+def _lists(tokenizer: Tokenizer, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    if hasattr(tokenizer, "encode_all") and type(tokenizer).encode in (ByteTokenizer.encode, VocabTokenizer.encode):
+        return tokenizer.encode_all(texts)
+    ids = [tokenizer.encode(t) for t in texts.to_pylist()]
+    bounds = np.zeros(len(ids) + 1, np.int64)
+    np.cumsum([len(i) for i in ids], out=bounds[1:])
+    return np.fromiter((x for i in ids for x in i), np.int64, bounds[-1]), bounds
+
 
 def encode(df: DataFrame, make: Callable[[], Tokenizer], eos_id: int | None = None, key: str = "ord", text: str = "text") -> DataFrame:
     """(key, ids, n): each non-empty text's ids, with the end id after each document if given.
 
-    ``make`` builds the tokenizer once per task. Null and empty texts are skipped.
+    ``make`` builds the tokenizer once per task. Null and empty texts are skipped. Ids go
+    from arrays to Arrow lists, without a Python list per document where the tokenizer allows it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = make()
-        tail = [] if eos_id is None else [eos_id]
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                ids = [tokenizer.encode(t) + tail for t in part.column(text).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(ids, pa.list_(pa.int32())), pa.array([len(i) for i in ids], pa.int64())], [key, "ids", "n"])
+                flat, bounds = _lists(tokenizer, part.column(text))
+                if eos_id is not None:
+                    whole = np.full(len(flat) + part.num_rows, eos_id, np.int32)
+                    keep = np.ones(len(whole), bool)
+                    bounds = bounds + np.arange(len(bounds))
+                    keep[bounds[1:] - 1] = False
+                    whole[keep] = flat
+                    flat = whole
+                ids = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column(key), ids, pa.array(np.diff(bounds))], [key, "ids", "n"])
 
     rows = df.where(F.col(text) != "").select(F.col(key).cast("long").alias(key), text)
     return rows.mapInArrow(run, f"{key} long, ids array<int>, n long")
@@ -84,7 +150,7 @@ def distinct_in_prefix(train: DataFrame, limit: int = 5_000_000, key: str = "ord
     return near.select(F.explode("ids").alias("id")).agg(F.count_distinct("id").alias("distinct_tokens"))
 
 
-def as_uint16(ids: list[int]) -> bytes:
+def as_uint16(ids) -> bytes:  # noqa: ANN001
     """Little-endian 16-bit ids; one that does not fit is an error."""
     a = np.asarray(ids, np.int64)
     if len(a) and (a.min() < 0 or a.max() > 0xFFFF):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import minhash as M
@@ -11,8 +13,8 @@ from ..functions import text as T
 from ..operators import dedup, sources, tokens
 from ..operators.components import connected_components
 from ..operators.overlap import OverlapIndex, overlap_report
-from ..runtime import load, stash
-from ..sources import readers
+from ..runtime import load, stash, temporary_path
+from ..sources import readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -231,6 +233,7 @@ def dedup_stats(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {NEAR} SELECT src, dst, sim FROM edges WHERE sim >= 0.6")
 def near_dup_edges_06(spark: SparkSession, d: str) -> DataFrame:
+    """Edges at 0.6 among the default candidates, which hold a pair at 0.6 with probability 0.24 (``dedup.threshold_sweep``)."""
     return dedup.star_edges(_signed(spark, d)[1], 0.6)
 
 
@@ -242,6 +245,7 @@ low AS (SELECT t, ord, min(r) AS r FROM reach GROUP BY t, ord)
 SELECT th.t AS threshold, count(*) FILTER (low.r < low.ord) AS near_duplicates FROM th LEFT JOIN low ON low.t = th.t GROUP BY th.t"""
 )
 def threshold_sweep(spark: SparkSession, d: str) -> DataFrame:
+    """Near-duplicates at six thresholds among the default candidates, which miss most pairs at 0.5 and 0.6 (``dedup.threshold_sweep``)."""
     return dedup.threshold_sweep(docs(spark, d), kind="md5")
 
 
@@ -274,16 +278,17 @@ def components_supplier_nation(spark: SparkSession, d: str) -> DataFrame:
 
 # --- overlap ------------------------------------------------------------------------------
 
-OVERLAP = f"""{DOCS}, held AS (SELECT * FROM d WHERE ord % 2 = 0), asked AS (SELECT * FROM d WHERE ord % 2 = 1 AND length(text) > 200),
+LINES = "d AS (SELECT line_id AS ord, text, source, split FROM corpus_lines WHERE text <> '' AND split IN ('train', 'validation', 'test'))"
+OVERLAP = f"""{LINES}, held AS (SELECT * FROM d WHERE split = 'train'), asked AS (SELECT * FROM d WHERE split <> 'train' AND length(text) > 200),
 both_sides AS (SELECT ord, text FROM held UNION ALL SELECT ord, text FROM asked), {_shingles_sql('both_sides')}, {SIGNED}, {BANDS},
-pairs AS (SELECT DISTINCT a.ord AS probe, b.ord AS indexed FROM bands a JOIN bands b USING (band, bucket) WHERE a.ord % 2 = 1 AND b.ord % 2 = 0),
+pairs AS (SELECT DISTINCT a.ord AS probe, b.ord AS indexed FROM bands a JOIN bands b USING (band, bucket) SEMI JOIN asked ON asked.ord = a.ord SEMI JOIN held ON held.ord = b.ord),
 scored AS (SELECT probe, indexed, count(*) FILTER (x.v = y.v) / 128.0::DOUBLE AS sim FROM pairs JOIN sig x ON x.ord = probe JOIN sig y ON y.ord = indexed AND y.perm = x.perm GROUP BY probe, indexed)"""
 
 
 def _overlap(spark: SparkSession, d: str) -> tuple[OverlapIndex, DataFrame]:
-    every = docs(spark, d)
-    # two halves of the corpus stand for two corpora: the operator needs an indexed and a probing side
-    return OverlapIndex(kind="md5").add(every.where("ord % 2 = 0")), every.where("ord % 2 = 1 AND length(text) > 200")
+    """The training split indexed, and the held-out lines of more than 200 characters that probe it."""
+    lines = load(spark, d, "corpus_lines").where("text <> ''").select(F.col("line_id").alias("ord"), "text", "source", "split")
+    return OverlapIndex(kind="md5").add(lines.where("split = 'train'")), lines.where("split in ('validation', 'test') and length(text) > 200").drop("split")
 
 
 @query(f"WITH {OVERLAP} SELECT DISTINCT probe AS ord FROM scored WHERE sim >= 0.8")
@@ -310,14 +315,15 @@ def overlap_rates(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"""WITH d AS (SELECT doc_id * 2 + 1 AS ord, text FROM documents WHERE text <> ''), held AS (SELECT item_id * 2 AS ord, text FROM benchmark WHERE text <> ''),
-both_sides AS (SELECT * FROM d UNION ALL SELECT * FROM held), {_shingles_sql('both_sides')}, {SIGNED}, {BANDS},
+both_sides AS (SELECT * FROM d UNION ALL SELECT * FROM held), {_shingles_sql('both_sides')}, {SIGNED}, bands AS (SELECT ord, perm // 2 AS band, string_agg(v::VARCHAR, ',' ORDER BY perm) AS bucket FROM sig GROUP BY ord, perm // 2),
 pairs AS (SELECT DISTINCT a.ord AS probe, b.ord AS indexed FROM bands a JOIN bands b USING (band, bucket) WHERE a.ord % 2 = 1 AND b.ord % 2 = 0),
 scored AS (SELECT probe, indexed, count(*) FILTER (x.v = y.v) / 128.0::DOUBLE AS sim FROM pairs JOIN sig x ON x.ord = probe JOIN sig y ON y.ord = indexed AND y.perm = x.perm GROUP BY probe, indexed)
-SELECT (probe - 1) // 2 AS doc_id, indexed // 2 AS item_id, sim FROM scored WHERE sim >= 0.8"""
+SELECT (probe - 1) // 2 AS doc_id, indexed // 2 AS item_id, sim FROM scored WHERE sim >= 0.05"""
 )
 def benchmark_overlap(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that resemble short test items: 64 bands of 2, and the low similarity that an item within a document has."""
     items = load(spark, d, "benchmark").where("text <> ''").select(F.col("item_id").alias("ord"), "text")
-    found = OverlapIndex(kind="md5").add(items).pairs(docs(spark, d))
+    found = OverlapIndex(kind="md5", num_bands=64).add(items).pairs(docs(spark, d), 0.05)
     return found.select(F.col("probe").alias("doc_id"), F.col("indexed").alias("item_id"), "sim")
 
 
@@ -356,6 +362,36 @@ def total_tokens(spark: SparkSession, d: str) -> DataFrame:
     return sources.total_tokens(load(spark, d, "source_results"))
 
 
+# --- files --------------------------------------------------------------------------------
+
+
+@query("SELECT row_number() OVER (ORDER BY line_id) - 1 AS ord, coalesce(text, '') AS text FROM local_lines")
+def jsonl_scan(spark: SparkSession, d: str) -> DataFrame:
+    """The local lines written as JSON lines, and read again with their line numbers."""
+    path = temporary_path(spark, "lines")
+    sinks.write_jsonl(load(spark, d, "local_lines").orderBy("line_id"), path)
+    return readers.numbered_lines(spark, path).select("ord", F.coalesce("text", F.lit("")).alias("text"))
+
+
+@query(f"WITH {DOCS}, x AS (SELECT unnest(list_append(list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: ('0x' || x)::INTEGER), 256)) AS id FROM d) SELECT id, count(*) AS n FROM x GROUP BY id")
+def token_file_histogram(spark: SparkSession, d: str) -> DataFrame:
+    """How often each id stands in the token file of the documents, which is written and read again."""
+    path = temporary_path(spark, "token-file")
+    stream = tokens.split(_tokens(spark, d), lambda total: 0)
+    sinks.write_tokens(tokens.part(stream, "train"), path)
+
+    def count(batches):  # noqa: ANN001, ANN202
+        total = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for content in batch.column("content"):
+                total += np.bincount(np.frombuffer(content.as_buffer(), "<u2"), minlength=1 << 16)
+        met = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(total[met])], ["id", "n"])
+
+    parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.part").load(path)
+    return parts.select("content").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+
+
 # --- ordered reading ------------------------------------------------------------------------
 
 UNION = "SELECT source_ord, pos, text, row_number() OVER (ORDER BY source_ord, pos) - 1 AS line FROM (SELECT 0 AS source_ord, doc_id AS pos, text FROM documents UNION ALL SELECT 1, line_id, text FROM local_lines)"

@@ -60,6 +60,17 @@ def stash_path(spark: SparkSession, name: str) -> str:
 _stashed: list[tuple[SparkSession, str]] = []
 
 
+def release() -> None:
+    """Remove all that has been stashed so far, where no result that reads it is needed any more.
+
+    An application that runs many queries calls it between them; without it, intermediates
+    stay until the application ends.
+    """
+    for spark, path in _stashed:
+        drop_path(spark, path)
+    _stashed.clear()
+
+
 def _clear() -> None:
     """Remove what this application stashed, when it ends."""
     for spark, path in _stashed:
@@ -103,6 +114,12 @@ def _file(spark: SparkSession, path: str):  # noqa: ANN202
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full address of a path, with the file system Spark resolves it on."""
+    fs, target = _file(spark, path)
+    return fs.makeQualified(target).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder lies at ``path``, on whatever file system."""
     fs, target = _file(spark, path)

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from ..operators.tokens import as_uint16
-from ..runtime import drop_path
+from ..runtime import drop_path, file_size, path_exists, qualified, read_text, stash, write_text
 
 
 def write_jsonl(df: DataFrame, path: str, fields: tuple[str, ...] = ("text",)) -> None:
@@ -19,99 +21,118 @@ def write_jsonl(df: DataFrame, path: str, fields: tuple[str, ...] = ("text",)) -
 
 def committed(spark: SparkSession, path: str) -> bool:
     """Whether a complete write lies at ``path``."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
 def write_source(df: DataFrame, path: str, source: str) -> dict:
     """Write a source once: a complete earlier write is skipped, a failed one leaves nothing complete.
 
-    Returns a status row: source and docs, skipped, or error (cut to 120 characters).
+    A reader that was cut off marks it by a row with a reason in a column ``interrupted``: what
+    had arrived before is kept, and the reason is reported (cut to 90 characters). Returns a
+    status row: source and docs, with interrupted or not; skipped; or error (cut to 120 characters).
     """
     spark = df.sparkSession
     if committed(spark, path):
         return {"source": source, "skipped": True}
     try:
+        reason = None
+        if "interrupted" in df.columns:
+            df = stash(df.select("text", "interrupted"), "source")
+            reason = df.where("interrupted is not null").agg(F.min("interrupted")).first()[0]
+            df = df.where("interrupted is null")
         write_jsonl(df, path)
         docs = spark.read.text(path).count()
     except Exception as e:  # noqa: BLE001 - one source must not end the others
         return {"source": source, "error": str(e)[:120]}
     if not docs:
         drop_path(spark, path)  # an empty write must not count as complete
-        return {"source": source, "error": "no documents"}
-    return {"source": source, "docs": docs}
-
-
-class TokenFileSource(DataSource):
-    """``df.write.format("token_file")``: rows (before long, ids array<int>) as one flat uint16 file.
-
-    Each task writes a part for its rows, which must be range partitioned by ``before``;
-    the commit joins the parts in the order of their first position and removes them. An
-    aborted write leaves no file under the final name. Options: ``path`` on a file system
-    that driver and executors share.
+        return {"source": source, "error": (reason or "no documents")[:120]}
+    return {"source": source, "docs": docs} | ({"interrupted": reason[:90]} if reason else {})
+
+
+def _open(path: str) -> tuple[pa.fs.FileSystem, str]:
+    """The file system of a path or address, and the path on it."""
+    if "://" in path or path.startswith("file:"):
+        return pa.fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+    return pa.fs.LocalFileSystem(), path
+
+
+def _part_writer(folder: str):
+    """Writes each task's rows, neighbours in the stream, as one file of 16-bit ids named by its first position and attempt."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        fs, base = _open(folder)
+        first, last, tokens, out, name = -1, -1, 0, None, ""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            before, lists = np.asarray(batch.column("before")), batch.column("ids")
+            ends = before + np.asarray(lists.value_lengths())
+            if (last >= 0 and before[0] != last) or (before[1:] != ends[:-1]).any():
+                raise ValueError("rows of a part must be neighbours in the stream")
+            if out is None:
+                first = int(before[0])
+                name = f"{first:020d}-{TaskContext.get().taskAttemptId()}.part"
+                out = fs.open_output_stream(f"{base}/{name}")
+            out.write(as_uint16(lists.flatten()))
+            tokens, last = tokens + len(lists.flatten()), int(ends[-1])
+        if out is not None:
+            out.close()
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([first]), pa.array([tokens])], ["name", "first", "tokens"])
+
+    return run
+
+
+def write_tokens(stream: DataFrame, path: str, joined: bool = False) -> dict:
+    """Write (before, ids) as 16-bit ids in stream order; returns tokens and bytes.
+
+    ``path`` becomes a folder of parts and ``manifest.json``, which lists them in order; tasks
+    write their parts side by side on the file system that driver and executors share, and
+    the manifest, written last, makes them count. What it doesn't list (of failed attempts)
+    is removed. ``joined``: one flat file instead, to which the driver copies the parts, a
+    few megabytes at a time. An earlier result is replaced only when the new one is complete.
     """
-
-    @classmethod
-    def name(cls) -> str:
-        return "token_file"
-
-    def schema(self) -> str:
-        return "before long, ids array<int>"
-
-    def writer(self, schema, overwrite: bool) -> DataSourceWriter:  # noqa: ANN001
-        return _TokenWriter(self.options["path"])
-
-
-class _Part(WriterCommitMessage):
-    def __init__(self, first: int, tokens: int, name: str):
-        self.first, self.tokens, self.name = first, tokens, name
-
-
-class _TokenWriter(DataSourceWriter):
-    def __init__(self, path: str):
-        self.path = path
-
-    def write(self, iterator):  # noqa: ANN001, ANN201
-        import uuid
-
-        name = f"{self.path}.{uuid.uuid4().hex}.part"
-        first, tokens, last = -1, 0, -1
-        with open(name, "wb") as f:
-            for row in sorted(iterator, key=lambda r: r.before):
-                if last >= 0 and row.before != last:
-                    raise ValueError("rows of a part must be neighbours in the stream")
-                first = row.before if first < 0 else first
-                f.write(as_uint16(row.ids))
-                tokens += len(row.ids)
-                last = row.before + len(row.ids)
-        return _Part(first, tokens, name)
-
-    def commit(self, messages) -> None:  # noqa: ANN001
-        parts = sorted((m for m in messages if m is not None), key=lambda m: m.first)
-        joined = f"{self.path}.joining"
-        with open(joined, "wb") as out:
-            for m in parts:
-                out.write(Path(m.name).read_bytes())
-                Path(m.name).unlink()
-        Path(joined).rename(self.path)
-        Path(f"{self.path}.json").write_text(json.dumps({"tokens": sum(m.tokens for m in parts)}))
-
-    def abort(self, messages) -> None:  # noqa: ANN001
-        for m in messages:
-            if m is not None:
-                Path(m.name).unlink(missing_ok=True)
-
-
-def write_tokens(stream: DataFrame, path: str) -> dict:
-    """Write (before, ids) as a flat file of 16-bit ids in stream order; returns tokens and bytes."""
     spark = stream.sparkSession
-    spark.dataSource.register(TokenFileSource)
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    path = qualified(spark, path)
+    folder = f"{path}.parts" if joined else path
+    fs, base = _open(folder)
+    drop_path(spark, folder)
+    fs.create_dir(base, recursive=True)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    stream.select("before", "ids").repartitionByRange(parts, "before").write.format("token_file").mode("append").option("path", path).save()
-    size = Path(path).stat().st_size
-    return {"n_tokens": size // 2, "n_bytes": size}
-
-
-__all__ = ["TokenFileSource", "committed", "write_jsonl", "write_source", "write_tokens"]
+    laid = stream.select("before", "ids").repartitionByRange(parts, "before").sortWithinPartitions("before")
+    made = sorted(laid.mapInArrow(_part_writer(folder), "name string, first long, tokens long").collect(), key=lambda r: r.first)  # one row per task
+    at = 0
+    for part in made:
+        if made and part.first != made[0].first + at:
+            raise ValueError("parts of the stream are missing")
+        at += part.tokens
+    listed = {r.name for r in made}
+    for info in fs.get_file_info(pa.fs.FileSelector(base)):
+        if info.base_name not in listed:
+            fs.delete_file(info.path)
+    write_text(spark, f"{folder}/manifest.json", json.dumps({"n_tokens": at, "parts": [[r.name, r.tokens] for r in made]}))
+    if joined:
+        join_parts(spark, folder, path)
+        drop_path(spark, folder)
+    return {"n_tokens": at, "n_bytes": 2 * at}
+
+
+def join_parts(spark: SparkSession, folder: str, path: str, block: int = 8 << 20) -> None:
+    """One flat file of the parts that the folder's manifest lists, copied block by block."""
+    folder, path = qualified(spark, folder), qualified(spark, path)
+    listed = json.loads(read_text(spark, f"{folder}/manifest.json"))
+    fs, base = _open(folder)
+    target_fs, target = _open(path)
+    with target_fs.open_output_stream(f"{target}.joining") as out:
+        for name, tokens in listed["parts"]:
+            if file_size(spark, f"{folder}/{name}") != 2 * tokens:
+                raise ValueError(f"{name} is not what the manifest says")
+            with fs.open_input_stream(f"{base}/{name}") as part:
+                while data := part.read(block):
+                    out.write(data)
+    target_fs.move(f"{target}.joining", target)
+
+
+__all__ = ["committed", "join_parts", "write_jsonl", "write_source", "write_tokens"]

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import clean_text
+from ..operators.overlap import OverlapIndex
 from ..operators.tokens import Tokenizer, encode
+from ..runtime import path_exists
 
 
 def jsonl_stream(spark: SparkSession, folder: str, schema: str = "text string", files_per_batch: int = 50) -> DataFrame:
@@ -34,11 +36,19 @@ def distinct_clean(stream: DataFrame, time: str, delay: str = "1 day", min_chars
     return rows.withColumn("key", F.sha2("clean", 256)).withWatermark(time, delay).dropDuplicatesWithinWatermark(["key"]).drop("key")
 
 
-def grow_index(spark: SparkSession, folder: str, index: str, checkpoint: str, key: str = "ord", **options) -> None:
-    """Append the signatures of newly arrived documents to an index table."""
-    from ..functions.minhash import signatures
+def grow_index(spark: SparkSession, folder: str, path: str, checkpoint: str, key: str = "ord", **options) -> OverlapIndex:
+    """Add newly arrived documents to the overlap index at ``path``, and open it.
+
+    ``options`` are those of ``OverlapIndex``; an index that is there keeps its own.
+    """
+    if path_exists(spark, f"{path}/settings.json"):
+        index = OverlapIndex.open(spark, path)
+    else:
+        index = OverlapIndex(**options, path=path)
+        index.describe(spark)
 
     def batch(rows: DataFrame, epoch: int) -> None:
-        signatures(rows, key, **options).write.mode("overwrite").parquet(f"{index}/epoch={epoch}")
+        index.sign(rows, key).write.mode("overwrite").parquet(f"{path}/signed/epoch={epoch}")
 
     jsonl_stream(spark, folder, f"{key} long, text string").writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return OverlapIndex.open(spark, path)

@@ -87,6 +87,33 @@ def test_components_of_nothing(spark):
     assert connected_components(none).count() == 0
 
 
+def test_components_of_several_graphs_at_once(spark):
+    edges = [(0, 1, 2), (0, 2, 3), (1, 1, 2), (1, 7, 3), (1, 2, 9)]
+    got = {(r.g, r.node): r.component for r in connected_components(spark.createDataFrame(edges, "g int, src long, dst long"), by="g").collect()}
+    assert got == {(0, 1): 1, (0, 2): 1, (0, 3): 1, (1, 1): 1, (1, 2): 1, (1, 9): 1, (1, 3): 3, (1, 7): 3}
+
+
+def test_overlap_by_existence_equals_pairs(spark, frame):
+    rng = random.Random(2)
+    vocabulary = [f"w{i}" for i in range(200)]
+    base = [" ".join(rng.choices(vocabulary, k=60)) for _ in range(6)]
+    change = lambda t: " ".join(w if rng.random() > 0.02 else "other" for w in t.split())
+    index = OverlapIndex(num_bands=32).add(frame([change(t) for t in base for _ in range(8)] + base[:2] * 3))
+    probes = frame([change(change(t)) for t in base for _ in range(6)] + base + ["nothing of it"])
+    want = {r.probe for r in index.pairs(probes, 0.7).collect()}
+    assert {r.ord for r in index.matches(probes, 0.7).collect()} == want and 5 < len(want) < 43
+
+
+def test_overlap_index_is_opened_again(spark, frame, tmp_path):
+    path = f"file://{tmp_path}/index"
+    OverlapIndex(num_perm=64, num_bands=8, kind="md5", path=path).add(frame([BASE])).add(frame([FAR]))
+    index = OverlapIndex.open(spark, path)
+    assert (index.num_perm, index.kind, index.count()) == (64, "md5", 2)
+    assert [r.ord for r in index.matches(frame([BASE, "other words"])).collect()] == [0]
+    with pytest.raises(FileNotFoundError):
+        OverlapIndex.open(spark, f"file://{tmp_path}/none")
+
+
 def test_overlap(spark, frame):
     index = OverlapIndex().add(frame([BASE, FAR]))
     probes = frame([BASE + " again", "nothing like it in the other corpus at all", None])

@@ -30,7 +30,24 @@ def test_text_tree(spark, tmp_path):
     rows = readers.local_text(spark, str(tmp_path)).collect()
     assert [r.text for r in rows] == ["bad � byte here\nnext", "long enough text"]
     with pytest.raises(FileNotFoundError):
-        readers.existing([str(tmp_path / "none")])
+        readers.existing(spark, [str(tmp_path / "none")])
+    assert rows[1].source == str(tmp_path / "c.txt")
+
+
+def test_existing_inputs_on_any_file_system(spark, tmp_path, capsys):
+    (tmp_path / "a").write_text("x")
+    paths = [f"file://{tmp_path}/a", str(tmp_path / "gone"), str(tmp_path / "a")]
+    assert readers.existing(spark, paths) == [paths[0], paths[2]]
+    assert "gone" in capsys.readouterr().err
+
+
+def test_limits_count_lines_without_text(spark, tmp_path):
+    for name, rows in (("a", ["one", "", "two"]), ("b", ["three", "four"])):
+        (tmp_path / f"{name}.jsonl").write_text("".join(json.dumps({"text": t}) + "\n" for t in rows))
+    paths = [str(tmp_path / "a.jsonl"), str(tmp_path / "b.jsonl")]
+    lines = lambda limit=None: [(r.ord, r.text) for r in readers.numbered_lines(spark, paths, limit).orderBy("ord").collect()]
+    assert lines() == [(0, "one"), (1, ""), (2, "two"), (3, "three"), (4, "four")]
+    assert lines(2) == [(0, "one"), (1, "")] and lines(0) == []
 
 
 def test_ordered_union_counts_empty_lines(frame):
@@ -59,6 +76,50 @@ def test_wiki(spark):
     assert "grnlimit=20" in readers.wiki_url("te")
 
 
+def _crawl(monkeypatch, answers, **options):
+    """What the crawler gives for these answers, and how many it asked for."""
+    asked = iter(answers)
+
+    def request(url, timeout):
+        answer = next(asked)
+        if isinstance(answer, Exception):
+            raise answer
+        return answer
+
+    monkeypatch.setattr(readers, "request", request)
+    reader = readers._WikipediaReader({k: str(v) for k, v in options.items()})
+    return [row for p in reader.partitions() for row in reader.read(p)]
+
+
+def test_crawl_ends_at_its_limit_or_with_a_reason(monkeypatch):
+    pages = lambda *sizes: json.dumps({"query": {"pages": {str(i): {"extract": "p" * n} for i, n in enumerate(sizes)}}}).encode()
+    rows = _crawl(monkeypatch, [pages(600, 10, 700), pages(800, 900)], limit=3)
+    assert [len(json.loads(p)["query"]["pages"]) for p, _ in rows] == [2, 1] and all(r is None for _, r in rows)
+    rows = _crawl(monkeypatch, [pages(600), OSError("no route")], limit=3)
+    assert [r for _, r in rows] == [None, "OSError: no route"]
+    assert _crawl(monkeypatch, [b'{"query": {}}'], limit=3) == [(None, "an answer without pages")]
+    assert _crawl(monkeypatch, [b"<html>"], limit=3)[0][1].startswith("JSONDecodeError")
+    assert _crawl(monkeypatch, [], limit=0) == []
+    assert [p.value for p in readers._WikipediaReader({"limit": "5", "readers": "2"}).partitions()] == [3, 2]
+
+
+def test_hub_rows_keep_what_arrived(monkeypatch):
+    import sys
+    import types
+
+    def rows(*a, **k):
+        yield from ({"body": t} for t in ("short", "long enough", None, "also long"))
+        raise OSError("line lost")
+
+    monkeypatch.setitem(sys.modules, "datasets", types.SimpleNamespace(load_dataset=rows))
+    options = {"dataset": "d", "field": "body", "min_chars": "6"}
+    read = lambda **more: list(readers._HubReader(options | more).read(readers.InputPartition(0)))
+    assert read() == [("long enough", None), ("also long", None), (None, "OSError: line lost")]
+    assert read(limit="1") == [("long enough", None)]
+    monkeypatch.setitem(sys.modules, "datasets", None)
+    assert read()[0][1].startswith("ModuleNotFoundError")
+
+
 def test_caps(spark):
     specs = [sources.SourceSpec("a", "d", None, "train", 2, 3), sources.SourceSpec("b", "d", None, "train", 0, 0), sources.SourceSpec("e", "d", None, "train", None, 0)]
     df = spark.createDataFrame([(i, s, t) for i, (s, t) in enumerate([("a", "xx"), ("a", "xxx"), ("a", "xxxx"), ("a", "xxxxx"), ("b", None), ("b", "y"), ("c", "zzz"), (None, "zzz"), ("e", "1"), ("e", "2")])], "ord long, source string, text string")
@@ -127,13 +188,83 @@ def test_prepare_and_tokenize_write_the_stream_in_order(spark, frame, tmp_path):
     report = prepare.tokenize_corpus(frames, str(tmp_path / "t"), tokens.ByteTokenizer, 256)
     stream = np.concatenate([np.fromfile(tmp_path / "t" / f"{w}.bin", "<u2") for w in ("train", "val")])
     assert stream.tolist() == [i for t in texts for i in [*t.encode(), 256]]
-    (tmp_path / "t" / "train.bin").unlink()  # interrupted: the staged encoding is used again
+    assert report["docs"] == 41 and report["docs_per_s"] > 0 < report["tokens_per_s"]
+    assert not (tmp_path / "t" / "tokenise.progress").exists()
     again = prepare.tokenize_corpus(frames, str(tmp_path / "t"), tokens.ByteTokenizer, 256)
     assert again["train"] == report["train"]
     with pytest.raises(ValueError):
         prepare.prepare(spark, [str(src)], str(tmp_path / "q"), tokens.ByteTokenizer, min_chars=10_000)
 
 
+def test_tokens_as_parts_with_a_manifest(spark, frame, tmp_path):
+    texts = [f"text {i} " + "w" * i for i in range(50)]
+    encoded = tokens.encode(frame(texts).repartition(6), tokens.ByteTokenizer, 256)
+    parts = tokens.split(encoded, lambda n: 5)
+    folder = tmp_path / "train.bin"
+    out = sinks.write_tokens(tokens.part(parts, "train"), str(folder))
+    manifest = json.loads((folder / "manifest.json").read_text())
+    assert manifest["n_tokens"] == out["n_tokens"] and {n for n, _ in manifest["parts"]} == {f.name for f in folder.glob("*.part")}
+    want = [i for t in texts for i in [*t.encode(), 256]][:-5]
+    assert [i for n, _ in manifest["parts"] for i in np.fromfile(folder / n, "<u2").tolist()] == want
+    sinks.join_parts(spark, f"file://{folder}", str(tmp_path / "flat.bin"), block=64)
+    assert np.fromfile(tmp_path / "flat.bin", "<u2").tolist() == want
+    (folder / manifest["parts"][0][0]).write_bytes(b"x")
+    with pytest.raises(ValueError):
+        sinks.join_parts(spark, str(folder), str(tmp_path / "flat.bin"))
+    wide = frame(["x"]).selectExpr("0L as before", "array(65536) as ids")
+    with pytest.raises(Exception, match="65535"):
+        sinks.write_tokens(wide, str(tmp_path / "wide.bin"))
+
+
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+@pytest.mark.skipif(not __import__("os").path.exists(VOCABULARY), reason="no vocabulary files")
+def test_vocabulary_files(spark, frame, tmp_path):
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(VOCABULARY)
+    model.encode_special_tokens = True
+    texts = ["the quick brown fox", "నది ఒడ్డున", "<|endoftext|> is text"]
+    got = {r.ord: r.ids for r in tokens.encode(frame([*texts, None, ""]), tokens.vocabulary(VOCABULARY), 7).collect()}
+    assert got == {i: [*model.encode(t, add_special_tokens=False).ids, 7] for i, t in enumerate(texts)}
+    source = tmp_path / "in.jsonl"
+    source.write_text("".join(json.dumps({"text": t}) + "\n" for t in texts))
+    assert cli.main(["tokenize", "--input", str(source), "--out-dir", str(tmp_path / "out"), "--vocab", VOCABULARY, "--val-fraction", "0.2"]) == 0
+    stream = np.concatenate([np.fromfile(tmp_path / "out" / f"{w}.bin", "<u2") for w in ("train", "val")])
+    assert stream.tolist() == [i for t in texts for i in model.encode(t, add_special_tokens=False).ids]
+    with pytest.raises(ValueError):
+        cli._tokenizer(VOCABULARY, "no such token")
+
+
+def test_tokenizing_resumes_after_the_chunks_on_disk(spark, frame, tmp_path, monkeypatch):
+    texts = [f"line {i}" for i in range(10)]
+    frames, out = [frame(texts)], tmp_path / "t"
+    encoded, encode = [], tokens.encode
+    fail_at = [2]
+
+    def counting(df, *a, **k):
+        if len(encoded) == fail_at[0]:
+            raise RuntimeError("killed")
+        encoded.append(1)
+        return encode(df, *a, **k)
+
+    monkeypatch.setattr(tokens, "encode", counting)
+    run = lambda: prepare.tokenize_corpus(frames, str(out), tokens.ByteTokenizer, 256, 0.1, chunk_lines=3)
+    with pytest.raises(RuntimeError):
+        run()
+    note = json.loads((out / "tokenise.progress").read_text())
+    assert note["docs"] == 6 and len(note["chunks"]) == 2
+    encoded.clear()
+    fail_at[0] = 99
+    for f in (out / "tokens.stage" / "chunk=00000001").glob("*.parquet"):
+        f.unlink()  # what lies there is less than the note says
+    run()
+    assert len(encoded) == 3  # the second chunk again, and the two that were missing
+    stream = np.concatenate([np.fromfile(out / f"{w}.bin", "<u2") for w in ("train", "val")])
+    assert stream.tolist() == [i for t in texts for i in [*t.encode(), 256]]
+
+
 def _out_of_order(folder, n=120):
     """Two files of distinct texts, neither alphabetical nor in the order of the file names."""
     texts = [f"{(i * 37) % n:03d} numbered text {i} " + "words of it " * 8 + "." for i in range(n)]
@@ -206,6 +337,9 @@ def test_source_sink(spark, frame, tmp_path):
     path = str(tmp_path / "s")
     assert sinks.write_source(frame(["a", "b"]), path, "s") == {"source": "s", "docs": 2}
     assert sinks.write_source(frame(["a"]), path, "s") == {"source": "s", "skipped": True}
+    cut = frame(["a", "b", None]).withColumn("interrupted", F.when(F.col("text").isNull(), F.lit("r" * 100)))
+    assert sinks.write_source(cut, str(tmp_path / "c"), "c") == {"source": "c", "docs": 2, "interrupted": "r" * 90}
+    assert sinks.write_source(cut.where("text is null"), str(tmp_path / "n"), "n") == {"source": "n", "error": "r" * 100}
     failing = frame(["a"]).select(F.raise_error(F.lit("x" * 300)).cast("string").alias("text"))
     assert len(sinks.write_source(failing, str(tmp_path / "f"), "f")["error"]) == 120
 
@@ -222,4 +356,5 @@ def test_streams_resume(spark, tmp_path):
     assert sorted(r.ids for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [[97, 98, 256], [99, 256]]
     (folder / "3.json").write_text('{"text": "' + "w " * 100 + '"}\n')
     incremental.grow_index(spark, str(folder), str(tmp_path / "idx"), str(tmp_path / "ck2"), "ord")
-    assert spark.read.parquet(str(tmp_path / "idx")).count() == 3
+    index = incremental.grow_index(spark, str(folder), str(tmp_path / "idx"), str(tmp_path / "ck2"), "ord")
+    assert index.count() == 3  # each document once
