@@ -42,7 +42,7 @@ def _word_table() -> np.ndarray:
     """Letters and combining marks."""
     if "word" not in _tables:
         digits = np.zeros(0x110000, bool)
-        digits[[i for i in range(0x110000) if chr(i).isdecimal()]] = True
+        digits[[i for i in K.ASSIGNED if chr(i).isdecimal()]] = True
         _tables["word"] = K.plain_table() & ~digits
     return _tables["word"]
 

@@ -23,6 +23,9 @@ SLICE_BYTES = 1 << 21
 # The 29 white-space code points of Unicode-aware word splitting.
 WHITE_SPACE = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
+# The planes of Unicode that hold letters, marks, digits and format characters.
+ASSIGNED = (*range(0x40000), *range(0xE0000, 0xE1000))
+
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -50,14 +53,18 @@ def plain_table() -> np.ndarray:
     """True for letters, combining marks and decimal digits."""
     if "plain" not in _tables:
         cat = unicodedata.category
-        _tables["plain"] = np.fromiter(((c := cat(chr(i)))[0] in "LM" or c == "Nd" for i in range(0x110000)), bool, 0x110000)
+        t = np.zeros(0x110000, bool)
+        t[list(ASSIGNED)] = [(c := cat(chr(i)))[0] in "LM" or c == "Nd" for i in ASSIGNED]
+        _tables["plain"] = t
     return _tables["plain"]
 
 
 def letter_table() -> np.ndarray:
     if "letter" not in _tables:
         cat = unicodedata.category
-        _tables["letter"] = np.fromiter((cat(chr(i))[0] == "L" for i in range(0x110000)), bool, 0x110000)
+        t = np.zeros(0x110000, bool)
+        t[list(ASSIGNED)] = [cat(chr(i))[0] == "L" for i in ASSIGNED]
+        _tables["letter"] = t
     return _tables["letter"]
 
 

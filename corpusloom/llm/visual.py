@@ -42,9 +42,9 @@ class Tables:
         self.klass = np.zeros(size, np.uint8)
         self.format = np.zeros(size, bool)
         firsts, seconds, made = [], [], []
-        for cp in range(size):
+        for cp in K.ASSIGNED:
             ch = chr(cp)
-            if 0xD800 <= cp < 0xE000 or (ch.isascii()):
+            if 0xD800 <= cp < 0xE000 or ch.isascii():
                 continue
             if c := unicodedata.combining(ch):
                 self.klass[cp] = c
