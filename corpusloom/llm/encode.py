@@ -100,9 +100,19 @@ class _Memory:
         return self.ids[at], bounds
 
 
+_worker: list[tuple[Merges, _Memory]] = []
+
+
+def _memory(merges: Merges) -> _Memory:
+    """The memory of this worker process for a vocabulary; tasks that follow one another share it."""
+    if not _worker or _worker[0][0] is not merges:
+        _worker[:] = [(merges, _Memory(Encoder(merges)))]
+    return _worker[0][1]
+
+
 def _encoder(shared, key: str, column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _Memory(Encoder(shared.value))
+        memory = _memory(shared.value)
         for batch in batches:
             for part in K.slices(batch, column):
                 ids, bounds = memory.encode(part.column(column).to_pylist())

@@ -86,14 +86,14 @@ def _prepare(key: str, column: str, min_words: int, n: int, size: int, window: i
                 after = pa.array(np.append(joined[1:], joined[:1]).view(np.int64), mask=~np.append(same[1:], same[:1] & False))
                 lists = lambda x: pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), x)  # noqa: B023,E731
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(key).take(pa.array(np.flatnonzero(long))), K.int64s(high), K.int64s(low), lists(K.int64s(hashes)), lists(before), lists(after), K.int_lists(grams, bounds)],
-                    ["id", "k1", "k2", "paras", "before", "after", "grams"],
+                    [*(part.column(c).take(pa.array(np.flatnonzero(long))) for c in (key, "batch")), K.int64s(high), K.int64s(low), lists(K.int64s(hashes)), lists(before), lists(after), K.int_lists(grams, bounds)],
+                    ["id", "batch", "k1", "k2", "paras", "before", "after", "grams"],
                 )
 
     return run
 
 
-SCHEMA = "id long, k1 long, k2 long, paras array<long>, before array<long>, after array<long>, grams array<long>"
+SCHEMA = "id long, batch long, k1 long, k2 long, paras array<long>, before array<long>, after array<long>, grams array<long>"
 _TABLES = {"hashes": ("p", "p long, id long, before long, after long"), "sets": ("id", "id long, grams array<long>"), "hot": ("p", "p long")}
 
 
@@ -219,21 +219,24 @@ class Ledger:
         both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(new.withColumnRenamed("id", "b"), "b", "left_semi")
         return both.join(new.select(F.col("id").alias("a"), F.lit(True).alias("inside")), "a", "left").where("inside is null or a < b").select("a", "b")
 
-    def admit(self, batch: DataFrame, key: str = "record_id", column: str = "text") -> DataFrame:
+    def admit(self, batch: DataFrame, key: str = "record_id", column: str = "text", order: str | None = None) -> DataFrame:
         """(accepted_id, record_id) of the refused records of ``batch``; accepts the others.
 
+        Records are taken by key; with ``order``, the column that numbers the batches of a
+        backlog, by number and then key, which gives what one call after the other would.
         Keys must not be those of accepted records; rows repeated within the batch count once.
         """
         s = self.settings
-        rows = batch.select(F.col(key).cast("long").alias(key), column).where(f"{column} is not null and {key} is not null")
+        number = F.lit(0) if order is None else F.col(order)
+        rows = batch.select(F.col(key).cast("long").alias(key), number.cast("long").alias("batch"), column).where(f"{column} is not null and {key} is not null and batch is not null")
         if self.empty:
             self._begin(rows, column)
             self.empty = False
         made = stash(rows.mapInArrow(_prepare(key, column, s["min_words"], s["n"], s["size"], s["window"]), SCHEMA), "p6-made")
-        first = made.groupBy("k1", "k2").agg(F.min("id").alias("rep"))
-        members = stash(made.select("id", "k1", "k2").join(first, ["k1", "k2"]).select("id", "rep").distinct(), "p6-members")
-        inside = members.select(F.col("rep").alias("id")).distinct()
-        pairs, stored = self._candidates(made, inside)
+        first = made.groupBy("k1", "k2").agg(F.min_by("id", F.struct("batch", "id")).alias("rep"))
+        members = stash(made.select("id", "batch", "k1", "k2").join(first, ["k1", "k2"]).select("id", "batch", "rep").distinct(), "p6-members")
+        inside = members.where("id = rep").select("id", "batch")
+        pairs, stored = self._candidates(made, inside.select("id"))
 
         # only what is paired reads its sets, of the batch and of history
         wanted = stash(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "p6-wanted")
@@ -241,20 +244,24 @@ class Ledger:
         common = F.size(F.array_intersect("ga", "gb"))
         scored = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
         scored = scored.select("a", "b", common.alias("common"), (F.size("ga") + F.size("gb")).alias("total"))
-        links = scored.where(F.col("common") >= s["threshold"] * (F.col("total") - F.col("common")) - 1e-9)
-        links = stash(links.join(inside.select(F.col("id").alias("a"), F.lit(True).alias("new")), "a", "left").select("a", "b", F.coalesce("new", F.lit(False)).alias("new")), "p6-links")
+        links = scored.where(F.col("common") >= s["threshold"] * (F.col("total") - F.col("common")) - 1e-9).select("a", "b")
+        # an end in history comes first; of two new ones, the one that is taken first
+        numbered = links.join(inside.select(F.col("id").alias("a"), F.col("batch").alias("na")), "a", "left").join(inside.select(F.col("id").alias("b"), F.col("batch").alias("nb")), "b")
+        late = F.struct("na", "a") > F.struct("nb", "b")
+        numbered = numbered.withColumn("new", F.col("na").isNotNull()).withColumn("swap", F.col("new") & late)
+        links = stash(numbered.select(F.when(F.col("swap"), F.col("b")).otherwise(F.col("a")).alias("a"), F.when(F.col("swap"), F.col("a")).otherwise(F.col("b")).alias("b"), "new"), "p6-links")
 
         by_history, edges = links.where("not new").select("a", "b"), links.where("new").select("a", "b")
         refused = self._first_wins(edges, by_history.select(F.col("b").alias("id")).distinct())
-        accepted = stash(inside.join(refused, "id", "left_anti"), "p6-accepted")
+        accepted = stash(inside.select("id").join(refused, "id", "left_anti"), "p6-accepted")
 
         takers = by_history.unionByName(edges.join(accepted.select(F.col("id").alias("a")), "a", "left_semi"))
         # a copy repeats what its class repeats, and the class's first record where that was accepted
         whole = takers.select("a", F.col("b").alias("rep")).unionByName(accepted.select(F.col("id").alias("a"), F.col("id").alias("rep")))
         # links name the earlier representative first; later copies also follow later ones
         later = edges.join(accepted.select(F.col("id").alias("b")), "b", "left_semi").select(F.col("b").alias("a"), F.col("a").alias("rep"))
-        found = whole.unionByName(later).join(members.select("rep", F.col("id").alias("record_id")), "rep").where("a <> record_id")
-        found = found.join(inside.select(F.col("id").alias("a"), F.lit(True).alias("same")), "a", "left").where("same is null or a < record_id")
+        found = whole.unionByName(later).join(members.select("rep", F.col("id").alias("record_id"), F.col("batch").alias("nb")), "rep").where("a <> record_id")
+        found = found.join(inside.select(F.col("id").alias("a"), F.col("batch").alias("na")), "a", "left").where(F.col("na").isNull() | (F.struct("na", "a") < F.struct("nb", "record_id")))
         result = stash(found.select(F.col("a").alias("accepted_id"), "record_id").distinct(), "p6-found")
         self._append("sets", made.select("id", "grams").join(accepted, "id", "left_semi").dropDuplicates(["id"]))
         self._append("hashes", stored.join(accepted, "id", "left_semi"))
@@ -286,17 +293,22 @@ def _contexts(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode(F.array("before", "after")).alias("p"), "id", none.alias("before"), none.alias("after")).where("p is not null").distinct()
 
 
-def admit_all(df: DataFrame, batch: str = "batch_no", key: str = "record_id", column: str = "text", **options) -> DataFrame:
+def admit_all(df: DataFrame, batch: str = "batch_no", key: str = "record_id", column: str = "text", backlog: bool = True, **options) -> DataFrame:
     """(accepted_id, record_id) over all batches of ``df`` in the order of ``batch``.
 
-    Each batch is one call of ``Ledger.admit``; the loop runs over batch numbers only.
-    Rows with a null batch belong to no batch. No batches: an empty result.
+    The first batch makes the history; the others wait and are admitted against it as one
+    ``backlog``, in their order, or each by a call of its own, which gives the same. Rows with a
+    null batch belong to no batch. No batches: an empty result.
     """
-    spark = df.sparkSession
-    numbers = [r[0] for r in df.select(batch).where(f"{batch} is not null").distinct().orderBy(batch).collect()]
-    ledger = Ledger(spark, **options)
-    out = spark.createDataFrame([], "accepted_id long, record_id long")
-    for number in numbers:
-        out = out.unionByName(ledger.admit(df.where(F.col(batch) == number), key, column))
+    first = df.agg(F.min(batch)).first()[0]
+    if first is None:
+        return df.sparkSession.createDataFrame([], "accepted_id long, record_id long")
+    later = [F.col(batch) > first]
+    if not backlog:
+        later = [F.col(batch) == r[0] for r in df.where(later[0]).select(batch).distinct().orderBy(batch).collect()]  # one row per batch
+    ledger = Ledger(df.sparkSession, **options)
+    out = ledger.admit(df.where(F.col(batch) == first), key, column)
+    for some in later:
+        out = out.unionByName(ledger.admit(df.where(some), key, column, batch))
     ledger.drop()
     return out

@@ -14,7 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of documents of 20 words or more whose sets of 5-word runs have Jaccard >= 0.7."""
-    return near.near_pairs(load(spark, d, "documents"))
+    return near.near_pairs(load(spark, d, "documents", spread=True))
 
 
 def p1_members(spark: SparkSession, d: str) -> DataFrame:
@@ -24,12 +24,12 @@ def p1_members(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     """Each document's class of copies, linked classes and near-duplicate group (5 words, 0.8)."""
-    return near.near_groups(load(spark, d, "documents"))
+    return near.near_groups(load(spark, d, "documents", spread=True))
 
 
 def p2_budget(spark: SparkSession, d: str) -> DataFrame:
     """Token, character and document totals by source, language and domain."""
-    return budget.token_budget(load(spark, d, "documents"), load(spark, d, "source_catalog"))
+    return budget.token_budget(load(spark, d, "documents", spread=True), load(spark, d, "source_catalog"))
 
 
 def p2_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -39,17 +39,17 @@ def p2_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of local lines stored differently that look the same."""
-    return visual.same_looking(load(spark, d, "local_lines"), load(spark, d, "lookalike_chars"))
+    return visual.same_looking(load(spark, d, "local_lines", spread=True), load(spark, d, "lookalike_chars"))
 
 
 def p3_forms(spark: SparkSession, d: str) -> DataFrame:
     """The consistent form of every local line."""
-    return visual.normalise(load(spark, d, "local_lines"), load(spark, d, "lookalike_chars")).select("line_id", "same_form")
+    return visual.normalise(load(spark, d, "local_lines", spread=True), load(spark, d, "lookalike_chars")).select("line_id", "same_form")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of a train and a held-out line whose sets of 3-plain-word runs have Jaccard >= 0.6."""
-    return crosssplit.cross_pairs(load(spark, d, "corpus_lines"))
+    return crosssplit.cross_pairs(load(spark, d, "corpus_lines", spread=True))
 
 
 def p4_members(spark: SparkSession, d: str) -> DataFrame:
@@ -59,7 +59,7 @@ def p4_members(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_counts(spark: SparkSession, d: str) -> DataFrame:
     """Lines and overlapping lines per split and source."""
-    return crosssplit.overlap_counts(load(spark, d, "corpus_lines"))
+    return crosssplit.overlap_counts(load(spark, d, "corpus_lines", spread=True))
 
 
 def _filters(spark: SparkSession, d: str) -> language.Filters:
@@ -68,17 +68,17 @@ def _filters(spark: SparkSession, d: str) -> language.Filters:
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Languages of the documents whose label is not exactly their only language."""
-    return language.wrong_labels(load(spark, d, "documents"), _filters(spark, d))
+    return language.wrong_labels(load(spark, d, "documents", spread=True), _filters(spark, d))
 
 
 def p5_documents(spark: SparkSession, d: str) -> DataFrame:
     """Every document's languages with share of letters and confidence."""
-    return language.document_languages(load(spark, d, "documents"), _filters(spark, d)).select("doc_id", "found_lang", "share", "confidence")
+    return language.document_languages(load(spark, d, "documents", spread=True), _filters(spark, d)).select("doc_id", "found_lang", "share", "confidence")
 
 
 def p5_segments(spark: SparkSession, d: str) -> DataFrame:
     """The one-language stretches of every document."""
-    return language.language_segments(load(spark, d, "documents"), _filters(spark, d))
+    return language.language_segments(load(spark, d, "documents", spread=True), _filters(spark, d))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -113,22 +113,22 @@ def p7_shortfall(spark: SparkSession, d: str) -> DataFrame:
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document by the 50k byte-level vocabulary."""
-    return encode.encode(load(spark, d, "documents"))
+    return encode.encode(load(spark, d, "documents", spread=True))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents and the benchmark items of which 8 plain words in a row stand in them."""
-    return leak.passages(load(spark, d, "documents"), load(spark, d, "benchmark")).select("doc_id", "item_id").distinct()
+    return leak.passages(load(spark, d, "documents", spread=True), load(spark, d, "benchmark")).select("doc_id", "item_id").distinct()
 
 
 def p9_near(spark: SparkSession, d: str) -> DataFrame:
     """As p9_found, but each of the 8 words may stand two words off its place."""
-    return leak.passages(load(spark, d, "documents"), load(spark, d, "benchmark"), slack=2)
+    return leak.passages(load(spark, d, "documents", spread=True), load(spark, d, "benchmark"), slack=2)
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of documents with a common stretch of 200 code points."""
-    return spans.span_pairs(load(spark, d, "documents"))
+    return spans.span_pairs(load(spark, d, "documents", spread=True))
 
 
 def p10_members(spark: SparkSession, d: str) -> DataFrame:
@@ -138,7 +138,7 @@ def p10_members(spark: SparkSession, d: str) -> DataFrame:
 
 def p10_shared(spark: SparkSession, d: str) -> DataFrame:
     """How much of each document stands in another one."""
-    return spans.shared_share(load(spark, d, "documents"))
+    return spans.shared_share(load(spark, d, "documents", spread=True))
 
 
 def queries() -> dict[str, Query]:
@@ -149,6 +149,9 @@ def queries() -> dict[str, Query]:
 _BLANK = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
+_SOURCE = "regexp_replace(lower(regexp_replace(source, '^\\s+|\\s+$', '', 'g')), '[\\s\\-]+', '_', 'g')"
+
+
 def _jaccard_sql(table: str, key: str, words: str, least: int, n: int, threshold: float, extra: str = "", where: str = "TRUE", rows: str = "TRUE") -> str:
     name = extra and f", {extra.split()[-1]}"
     run = " || ' ' || ".join(f"w[i + {k}]" for k in range(n))
@@ -182,7 +185,6 @@ FROM documents d LEFT JOIN c USING (doc_id) LEFT JOIN l ON l.a = c.class_id LEFT
 
 def _counts_sql() -> str:
     """Documents and characters by source, language and domain, and the totals of each."""
-    source = "regexp_replace(lower(regexp_replace(source, '^\\s+|\\s+$', '', 'g')), '[\\s\\-]+', '_', 'g')"
     lang = "nullif(nullif(lower(trim(lang, ' ')), ''), 'und')"
     levels = [("slice", ("source", "lang", "domain")), ("source", ("source",)), ("lang", ("lang",)), ("domain", ("domain",)), ("all", ())]
     parts = []
@@ -190,7 +192,20 @@ def _counts_sql() -> str:
         shown = ", ".join(c if c in by else f"NULL AS {c}" for c in ("source", "lang", "domain"))
         known = "coalesce(source IN (SELECT name FROM source_catalog WHERE name IS NOT NULL), false)" if "source" in by else "NULL"
         parts.append(f"SELECT '{level}' AS level, {shown}, {known} AS catalogued, count(*) AS docs, coalesce(sum(length(text)), 0)::BIGINT AS chars FROM d" + (f" GROUP BY {', '.join(by)}" if by else ""))
-    return f"WITH d AS (SELECT {source} AS source, {lang} AS lang, domain, text FROM documents) " + " UNION ALL ".join(parts)
+    return f"WITH d AS (SELECT {_SOURCE} AS source, {lang} AS lang, domain, text FROM documents) " + " UNION ALL ".join(parts)
+
+
+def _admission_sql(words: str, result: str) -> str:
+    """Admission in order: one recursive step for each record that resembles another one. Records are numbered in their order first."""
+    pairs = _jaccard_sql("numbered", "ord", words, 20, 5, 0.7, where="a.id < b.id")
+    return f"""
+WITH RECURSIVE numbered AS (SELECT row_number() OVER (ORDER BY batch_no, record_id) AS ord, record_id, batch_no, source, text FROM batch_lines),
+pairs AS (SELECT ord_a AS a, ord_b AS b FROM ({pairs})),
+asked AS (SELECT row_number() OVER (ORDER BY b) AS n, b, earlier FROM (SELECT b, list(a) AS earlier FROM pairs GROUP BY b)),
+steps AS (SELECT 0::BIGINT AS n, []::BIGINT[] AS refused UNION ALL
+SELECT asked.n, CASE WHEN len(list_filter(earlier, lambda x: NOT list_contains(refused, x))) > 0 THEN list_append(refused, b) ELSE refused END FROM steps JOIN asked ON asked.n = steps.n + 1),
+refused AS (SELECT DISTINCT unnest(refused) AS ord FROM (SELECT refused FROM steps ORDER BY n DESC LIMIT 1))
+{result}"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -208,6 +223,8 @@ def oracle_sql() -> dict[str, str]:
         "p4_found": cross,
         "p4_members": _class_sql("corpus_lines", "line_id", f"split IN ('train', 'validation', 'test') AND len({plain}) >= 8", "split = 'train', ", ", split <> 'train' AS held"),
         "p4_counts": f"SELECT split, source, count(*) AS lines, count(hit) AS overlapping FROM corpus_lines LEFT JOIN (SELECT DISTINCT unnest([line_id_a, line_id_b]) AS line_id, 1 AS hit FROM ({cross})) USING (line_id) WHERE split IN ('train', 'validation', 'test') GROUP BY split, source",
+        "p6_found": _admission_sql(stored, "SELECT x.record_id AS accepted_id, y.record_id FROM pairs JOIN numbered x ON x.ord = a JOIN numbered y ON y.ord = b WHERE b IN (SELECT ord FROM refused) AND a NOT IN (SELECT ord FROM refused)"),
+        "p6_by_source": _admission_sql(stored, f"SELECT batch_no, {_SOURCE} AS source, count(*) AS records, count(refused.ord) AS refused FROM numbered LEFT JOIN refused USING (ord) GROUP BY ALL"),
         "p9_found": f"SELECT DISTINCT doc_id, item_id FROM ({runs('documents', 'doc_id')}) JOIN ({runs('benchmark', 'item_id')}) USING (g)",
         "p9_near": f"""
 WITH dw AS (SELECT doc_id, unnest(range(len(w))) AS pos, unnest(w) AS word FROM (SELECT doc_id, {plain} AS w FROM documents WHERE text IS NOT NULL)),

@@ -275,7 +275,7 @@ def test_admission(spark, texts):
             accepted.add(i)
     assert pairs(ledger.admit_all(df)) == want and want
     for hot in (1, 4):  # hot passages in context, and records of mostly common text by their rarest runs, lose nothing
-        assert pairs(ledger.admit_all(df, hot=hot)) == want
+        assert pairs(ledger.admit_all(df, backlog=hot > 1, hot=hot)) == want
     assert ledger.admit_all(df.limit(0)).count() == 0
 
 
