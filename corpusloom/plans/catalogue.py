@@ -91,9 +91,9 @@ reach AS (SELECT x AS ord, x AS r FROM both_ways UNION SELECT reach.ord, y FROM
 labels AS (SELECT u.ord, coalesce(min(r), u.ord) AS cluster FROM u LEFT JOIN reach ON reach.ord = u.ord GROUP BY u.ord)"""
 
 
-def docs(spark: SparkSession, d: str) -> DataFrame:
+def docs(spark: SparkSession, d: str, spread: bool = True) -> DataFrame:
     """(ord, text, lang, source) of the non-empty documents."""
-    return load(spark, d, "documents").where("text <> ''").select(F.col("doc_id").alias("ord"), "text", "lang", "source")
+    return load(spark, d, "documents", spread).where("text <> ''").select(F.col("doc_id").alias("ord"), "text", "lang", "source")
 
 
 # --- projections, filters, cleaning -----------------------------------------------------
@@ -101,7 +101,7 @@ def docs(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {DOCS} SELECT ord, text FROM d")
 def project_nonempty_text(spark: SparkSession, d: str) -> DataFrame:
-    return docs(spark, d).select("ord", "text")
+    return docs(spark, d, False).select("ord", "text")
 
 
 @query(f"WITH {DOCS}, {CLEAN} SELECT ord, text FROM c")
@@ -116,24 +116,24 @@ def filter_min_chars_clean(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {DOCS} SELECT ord FROM d WHERE length(text) >= 200")
 def filter_min_chars_raw(spark: SparkSession, d: str) -> DataFrame:
-    return docs(spark, d).where(F.length("text") >= 200).select("ord")
+    return docs(spark, d, False).where(F.length("text") >= 200).select("ord")
 
 
 @query(f"WITH {DOCS} SELECT ord, {_strip_sql('text')} AS text FROM d WHERE length({_strip_sql('text')}) >= 10")
 def filter_min_chars_stripped(spark: SparkSession, d: str) -> DataFrame:
-    return readers.collected(docs(spark, d))
+    return readers.collected(docs(spark, d, False))
 
 
 @query(f"WITH {DOCS}, s AS (SELECT ord, {_strip_sql('text')} AS text FROM d) SELECT ord, text FROM (SELECT *, row_number() OVER (ORDER BY ord) AS n FROM s WHERE length(text) >= 10) WHERE n <= 500")
 def collected_capped(spark: SparkSession, d: str) -> DataFrame:
     """The first 500 stripped texts: the limit is the operator."""
-    return readers.collected(docs(spark, d), cap=500)
+    return readers.collected(docs(spark, d, False), cap=500)
 
 
 @query(f"WITH {DOCS} SELECT lang, count(*) AS docs, count(*) FILTER (regexp_matches(text, '[\\x{{0C00}}-\\x{{0C7F}}]')) AS with_script, count(*) FILTER (regexp_matches(text, '[\\x{{0C00}}-\\x{{0C7F}}]')) / count(*)::DOUBLE AS share FROM d GROUP BY lang")
 def script_share_by_lang(spark: SparkSession, d: str) -> DataFrame:
     hit = F.count(F.when(T.has_script("text"), 1))
-    return docs(spark, d).groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), hit.alias("with_script"), (hit / F.count(F.lit(1))).alias("share"))
+    return docs(spark, d, False).groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), hit.alias("with_script"), (hit / F.count(F.lit(1))).alias("share"))
 
 
 # --- exact duplicates -------------------------------------------------------------------
@@ -332,7 +332,7 @@ def benchmark_overlap(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {DOCS} SELECT source, count(*) AS docs, sum(length(text))::BIGINT AS chars, trunc(sum(length(text))::BIGINT * 0.208::DOUBLE)::BIGINT AS est_tokens FROM d GROUP BY source")
 def source_budget(spark: SparkSession, d: str) -> DataFrame:
-    return sources.budget(docs(spark, d))
+    return sources.budget(docs(spark, d, False))
 
 
 CAPPED = """SELECT ord, source, text FROM (SELECT d.*, row_number() OVER (PARTITION BY source ORDER BY ord) AS n, max_docs FROM d JOIN source_catalog ON name = source
@@ -341,12 +341,12 @@ WHERE length(text) >= coalesce(min_chars, 0) {only}) WHERE max_docs IS NULL OR n
 
 @query(f"WITH {DOCS} {CAPPED.format(only='')}")
 def source_capped(spark: SparkSession, d: str) -> DataFrame:
-    return sources.capped(docs(spark, d), load(spark, d, "source_catalog")).select("ord", "source", "text")
+    return sources.capped(docs(spark, d, False), load(spark, d, "source_catalog")).select("ord", "source", "text")
 
 
 @query(f"WITH {DOCS} {CAPPED.format(only=chr(10) + 'AND source IN (' + chr(39) + 'webtelu' + chr(39) + ', ' + chr(39) + 'local_text' + chr(39) + ')')}")
 def source_selected(spark: SparkSession, d: str) -> DataFrame:
-    return sources.capped(docs(spark, d), load(spark, d, "source_catalog"), only=["webtelu", "local_text"]).select("ord", "source", "text")
+    return sources.capped(docs(spark, d, False), load(spark, d, "source_catalog"), only=["webtelu", "local_text"]).select("ord", "source", "text")
 
 
 LATEST = "l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY finished_at DESC NULLS LAST, run_id DESC) AS n FROM source_results WHERE source IS NOT NULL) WHERE n = 1), s AS (SELECT *, CASE WHEN error_msg IS NOT NULL THEN 'failed' WHEN skipped THEN 'skipped' WHEN interrupted IS NOT NULL THEN 'interrupted' ELSE 'ok' END AS status FROM l)"
@@ -415,13 +415,13 @@ BLOCKS = f"{DOCS}, p AS (SELECT ord, string_split(text, chr(10) || chr(10)) AS p
 
 @query(f"WITH {BLOCKS} SELECT ord, block, text FROM b")
 def block_split(spark: SparkSession, d: str) -> DataFrame:
-    return readers.blocks(docs(spark, d)).select("ord", F.col("block").cast("long").alias("block"), "text")
+    return readers.blocks(docs(spark, d, False)).select("ord", F.col("block").cast("long").alias("block"), "text")
 
 
 @query(f"WITH {BLOCKS} SELECT ord, block, text FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY block) AS n FROM b) WHERE n <= 2")
 def block_head(spark: SparkSession, d: str) -> DataFrame:
     """The first two long blocks of each document: the limit is the operator."""
-    return readers.blocks(docs(spark, d), per_file=2).select("ord", F.col("block").cast("long").alias("block"), "text")
+    return readers.blocks(docs(spark, d, False), per_file=2).select("ord", F.col("block").cast("long").alias("block"), "text")
 
 
 @query("SELECT file_path, source, regexp_replace(text, '\\A[" + W + "]+|[" + W + "]+\\z', '', 'g') AS text FROM local_lines WHERE length(regexp_replace(text, '\\A[" + W + "]+|[" + W + "]+\\z', '', 'g')) >= 10")

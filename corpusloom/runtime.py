@@ -173,6 +173,17 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+def load(spark: SparkSession, sf_dir: str, table: str, spread: bool = False) -> DataFrame:
+    """A table of the folder.
+
+    ``spread``: for work that is heavy per row. A file of few row groups is read by few tasks;
+    where these would leave most cores idle, its rows are dealt out to all of them first.
+    Tables with a task for every third core or more, and so all large ones, are left as they are.
+    """
     ship(spark)
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df._jdf.queryExecution().toRdd().getNumPartitions() * 3 < cores:
+            return df.repartition(cores)
+    return df

@@ -25,6 +25,12 @@ def test_shingles():
     assert len(M.shingles("two words")) == 1
 
 
+def test_pinned_shingle_hashes():
+    # first 32 bits of BLAKE2b with a 4-byte digest, and of MD5
+    assert M.shingles("a b c d e") == {769012554} and M.shingles("a b c d e", kind="md5") == {607697051}
+    assert M.shingles("a  b\u3000c d e f") == M.shingles("a b c d e") | M.shingles("b c d e f")
+
+
 def test_pinned_coefficients():
     a, b = M.coefficients()
     assert a[:2].tolist() == [2024765128292662543, 427798353355711302]
