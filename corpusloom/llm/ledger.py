@@ -117,15 +117,19 @@ class Ledger:
         name = uuid.uuid4().hex[:12]
         self.names = {t: f"corpusloom_{t}_{name}" for t in _TABLES}
         known = read_text(spark, f"{self.path}/settings.json")
-        self.empty = known is None
+        self.empty, self.scratch = known is None, []
         if known:
             self.settings = json.loads(known)
             self._register()
 
     def _register(self) -> None:
-        for table, (by, schema) in _TABLES.items():
-            spec = f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {self.settings['buckets']} BUCKETS"
-            self.spark.sql(f"CREATE TABLE {self.names[table]} ({schema}) USING parquet OPTIONS (compression 'zstd') {spec} LOCATION '{self.path}/{table}'")
+        for table in _TABLES:
+            self._create(self.names[table], table, f"{self.path}/{table}")
+
+    def _create(self, name: str, table: str, path: str) -> None:
+        by, schema = _TABLES[table]
+        spec = f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {self.settings['buckets']} BUCKETS"
+        self.spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet OPTIONS (compression 'zstd') {spec} LOCATION '{path}'")
 
     def _begin(self, rows: DataFrame, column: str) -> None:
         """Fix the number of buckets by the first batch, and make the tables."""
@@ -145,7 +149,7 @@ class Ledger:
 
     def close(self) -> None:
         """Forget the tables of this session; what lies at ``path`` stays."""
-        for name in self.names.values():
+        for name in (*self.names.values(), *self.scratch):
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def drop(self) -> None:
@@ -153,16 +157,20 @@ class Ledger:
         self.close()
         drop_path(self.spark, self.path)
 
-    def _laid(self, rows: DataFrame, name: str) -> DataFrame:
-        """``rows`` in the buckets of ``hashes``, written once."""
-        return stash(rows.repartition(self.settings["buckets"], "p"), name)
-
-    def _local(self, rows: DataFrame) -> DataFrame:
-        return rows.repartition(self.settings["buckets"], "p")
+    def _laid(self, rows: DataFrame, name: str, placed: bool = False) -> DataFrame:
+        """``rows`` written once in the buckets of ``hashes``, so that joins by ``p`` move nothing. ``placed``: they lie in them already."""
+        table, path = f"{self.names['hashes']}_{uuid.uuid4().hex[:8]}", temporary_path(self.spark, name)
+        self._create(table, "hashes", path)
+        self.scratch.append(table)
+        none = F.lit(None).cast("long")
+        rows = rows.select("p", "id", *(c if c in rows.columns else none.alias(c) for c in ("before", "after")))
+        rows = rows if placed else rows.repartition(self.settings["buckets"], "p")
+        rows.sortWithinPartitions("p").write.insertInto(table)
+        return self.spark.table(table)
 
     def _met(self, posts: DataFrame, name: str) -> DataFrame:
         """The history's rows (p, id) that have a hash of ``posts``; each bucket looks into its own part only."""
-        return stash(self._table("hashes").select("p", "id").join(self._local(posts.select("p").distinct()), "p", "left_semi"), name)
+        return self._laid(self._table("hashes").select("p", "id").join(posts.select("p").distinct(), "p", "left_semi"), name, True).select("p", "id")
 
     def _candidates(self, made: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(a, b, covered) with b in the batch and a in history or earlier in the batch; and the batch's rows for ``hashes``."""
@@ -265,6 +273,8 @@ class Ledger:
         result = stash(found.select(F.col("a").alias("accepted_id"), "record_id").distinct(), "p6-found")
         self._append("sets", made.select("id", "grams").join(accepted, "id", "left_semi").dropDuplicates(["id"]))
         self._append("hashes", stored.join(accepted, "id", "left_semi"))
+        while self.scratch:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.scratch.pop()}")
         return result
 
     def _first_wins(self, edges: DataFrame, refused: DataFrame) -> DataFrame:
