@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import minhash as M
 from ..functions import text as T
@@ -10,34 +10,48 @@ from ..runtime import stash
 from .components import connected_components
 
 
-def exact_dedup_clean(df: DataFrame, min_chars: int = 64, key: str = "ord", text: str = "text") -> DataFrame:
-    """(key, text): one row per distinct cleaned text of at least ``min_chars``, with the smallest key.
+def cleaned_groups(df: DataFrame, key: str = "ord", text: str = "text") -> DataFrame:
+    """(text, key, n, length): one row per distinct cleaned text, with its smallest key, its rows and its length.
 
-    The cleaned text is what is kept. Null texts are skipped.
+    Null texts are skipped. The length is an aggregate, so that a filter on it isn't moved
+    below the cleaning, which would then be done twice.
     """
     cleaned = df.where(F.col(text).isNotNull()).select(key, T.clean_text(text).alias(text))
-    # the length is an aggregate, so that the filter isn't moved below the cleaning, which would clean twice
-    per = cleaned.groupBy(text).agg(F.min(key).alias(key), F.max(F.length(text)).alias("_length"))
-    return per.where(F.col("_length") >= min_chars).select(key, text)
+    return cleaned.groupBy(text).agg(F.min(key).alias(key), F.count(F.lit(1)).alias("n"), F.max(F.length(text)).alias("length"))
+
 
+def kept_groups(groups: DataFrame, min_chars: int = 64, key: str = "ord", text: str = "text") -> DataFrame:
+    """(key, text) of the groups that are long enough."""
+    return groups.where(F.col("length") >= min_chars).select(key, text)
 
-def clean_stats(df: DataFrame, min_chars: int = 64, script: tuple[int, int] = T.TELUGU, text: str = "text") -> DataFrame:
+
+def group_stats(groups: DataFrame, min_chars: int = 64, script: tuple[int, int] = T.TELUGU, text: str = "text") -> DataFrame:
     """One row: documents_in, documents_kept, duplicates, too_short, script_docs, characters, script_share."""
-    cleaned = df.where(F.col(text).isNotNull()).select(T.clean_text(text).alias("t"))
-    # per distinct cleaned text first, so that counting needs no second pass over the texts
-    per = cleaned.groupBy("t").agg(F.count(F.lit(1)).alias("n"))
-    long = F.length("t") >= min_chars
-    total = per.agg(
+    long = F.col("length") >= min_chars
+    total = groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("documents_in"),
         F.count(F.when(long, 1)).alias("documents_kept"),
         F.coalesce(F.sum(F.when(long, F.col("n") - 1)), F.lit(0)).alias("duplicates"),
         F.coalesce(F.sum(F.when(~long, F.col("n"))), F.lit(0)).alias("too_short"),
-        F.count(F.when(long & T.has_script("t", *script), 1)).alias("script_docs"),
-        F.coalesce(F.sum(F.when(long, F.length("t").cast("long"))), F.lit(0)).alias("characters"),
+        F.count(F.when(long & T.has_script(text, *script), 1)).alias("script_docs"),
+        F.coalesce(F.sum(F.when(long, F.col("length").cast("long"))), F.lit(0)).alias("characters"),
     )
     return total.withColumn("script_share", F.coalesce(F.try_divide("script_docs", "documents_kept"), F.lit(0.0)))
 
 
+def exact_dedup_clean(df: DataFrame, min_chars: int = 64, key: str = "ord", text: str = "text") -> DataFrame:
+    """(key, text): one row per distinct cleaned text of at least ``min_chars``, with the smallest key.
+
+    The cleaned text is what is kept. Null texts are skipped.
+    """
+    return kept_groups(cleaned_groups(df, key, text), min_chars, key, text)
+
+
+def clean_stats(df: DataFrame, min_chars: int = 64, script: tuple[int, int] = T.TELUGU, key: str = "ord", text: str = "text") -> DataFrame:
+    """The statistics of ``exact_dedup_clean``, as ``group_stats``."""
+    return group_stats(cleaned_groups(df, key, text), min_chars, script, text)
+
+
 def exact_dedup_strip(df: DataFrame, key: str = "ord", text: str = "text") -> DataFrame:
     """(key, text): the first original of each stripped text. Null texts are skipped; blank ones count as one."""
     rows = df.where(F.col(text).isNotNull()).select(key, text, F.sha2(T.strip(text), 256).alias("_h"))
@@ -126,8 +140,3 @@ def format_clean_stats(row, script: str = "Telugu") -> str:
     """A cleaning stats row as two lines of text."""
     counts = f"kept {row.documents_kept:,} / {row.documents_in:,}; duplicates {row.duplicates:,}, short {row.too_short:,}"
     return f"{counts}\n{row.characters:,} characters; {script} in {row.script_share:.1%} of the kept"
-
-
-def first_of_group(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    """The first row of each group in ``order``."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where("_n = 1").drop("_n")

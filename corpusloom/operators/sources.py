@@ -19,7 +19,7 @@ class SourceSpec:
     dataset: str
     config: str | None
     split: str
-    max_docs: int
+    max_docs: int | None
     min_chars: int = 200
     text_field: str = "text"
 

@@ -22,8 +22,8 @@ def prepare(spark: SparkSession, paths: list[str], out_dir: str, make: Callable[
     ``joined`` false leaves each as a folder of ordered parts with a manifest (``sinks.write_tokens``).
     """
     docs = stash(readers.with_ord(readers.read_documents(spark, readers.existing(spark, paths)).where("text is not null"), readers.INPUT_ORDER), "prepare-docs")
-    kept = stash(dedup.exact_dedup_clean(docs, min_chars), "prepare-kept")
-    stats = dedup.clean_stats(docs, min_chars).first()
+    groups = stash(dedup.cleaned_groups(docs), "prepare-groups")
+    kept, stats = dedup.kept_groups(groups, min_chars), dedup.group_stats(groups, min_chars).first()
     if not stats.documents_kept:
         raise ValueError("no document is left after cleaning")
     encoded = stash(tokens.encode(kept, make, eos_id), "prepare-tokens")

@@ -27,11 +27,6 @@ def with_ord(df: DataFrame, order: list[str], out: str = "ord") -> DataFrame:
     return running_total(df.withColumn("_one", F.lit(1)), order, "_one", out).drop("_one")
 
 
-def with_total(df: DataFrame, order: list[str], value: str, out: str) -> DataFrame:
-    """``df`` with the sum of ``value`` over the rows before, in ``order``."""
-    return running_total(df, order, value, out)
-
-
 def jsonl(spark: SparkSession, path: str | list[str], schema: str = "text string") -> DataFrame:
     """JSON lines with non-empty ``text``; a malformed line fails the query, blank lines are skipped."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path).where("text <> ''")
@@ -72,7 +67,7 @@ def numbered_lines(spark: SparkSession, path: str | list[str], limit: int | None
     if limit is not None:
         split = ["path", "split_start"]
         counts = stash(rows.groupBy(*split).agg(F.count(F.lit(1)).alias("n")), "split-counts")  # one row per split
-        ahead = with_total(counts, split, "n", "ahead")
+        ahead = running_total(counts, split, "n", "ahead")
         rows = rows.join(ahead.where(F.col("ahead") < limit).select(*split), split, "left_semi")
     placed = with_ord(rows, ["path", "split_start", "split_line"])
     placed = placed if limit is None else placed.where(F.col("ord") < limit)
